@@ -63,7 +63,7 @@ def person_base(
         "person_id",
         F.col("person_source_value").alias("Barcode"),
         F.when(gender == male, "Male").when(gender == female, "Female").otherwise("Unknown").alias("Gender"),
-        F.when(F.col("year_of_birth").isNotNull(), F.try_to_date(born, F.lit("y-M-d"))).alias("_born"),
+        F.when(F.col("year_of_birth").isNotNull(), F.try_to_date(born, "y-M-d")).alias("_born"),
     )
     listed = participants.select("cohort_id", F.col("barcode").alias("Barcode"), F.col("subject_id").alias("Subject_ID"))
     return cohort_join(people, listed, "Barcode")
