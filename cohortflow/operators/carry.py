@@ -50,7 +50,7 @@ def asof_join(
         raise ValueError(f"Columns exist on both sides: {clash}")
     key_cols = [F.col(quoted(k)) for k in keys]
     payload = F.struct(*[F.col(quoted(c)) for c in wanted])
-    rows = right.filter(F.col(quoted(right_time)).isNotNull()).select(
+    rows = right.dropna(subset=[*keys, right_time]).select(
         *key_cols, F.col(quoted(right_time)).alias("_t"), F.lit(0).alias("_side"), payload.alias("_s0")
     ).unionByName(
         left.select(

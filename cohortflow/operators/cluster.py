@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -24,6 +26,7 @@ SEED = 42
 RESTARTS = 10
 MICRO_CLUSTERS = 500
 NEIGHBOURS = 10
+PARALLEL_FITS = 5
 
 
 @dataclass(frozen=True)
@@ -229,11 +232,14 @@ def _label(
         )
         return features.join(F.broadcast(mapping), "z")  # at most micro_clusters rows
 
-    micro = _best_kmeans(features, micro_clusters, 1)
+    micro = KMeans(
+        k=micro_clusters, seed=SEED, initMode="random", maxIter=10, featuresCol="features"
+    ).fit(features)
     assigned = micro.setPredictionCol("_micro").transform(features)
-    sizes = {r["_micro"]: float(r["n"]) for r in assigned.groupBy("_micro").agg(F.count("*").alias("n")).collect()}
+    counted = assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {r["_micro"]: float(r["n"]) for r in counted}
     ids = sorted(sizes)
-    centres = np.array([micro.clusterCenters()[i] for i in ids])
+    centres = np.array(micro.clusterCenters())[ids]
     groups = _group(centres, np.array([sizes[i] for i in ids]), k, algorithm, restarts, features)
     mapping = features.sparkSession.createDataFrame(
         [(i, int(g)) for i, g in zip(ids, groups)], "_micro int, cluster int"
@@ -242,11 +248,17 @@ def _label(
 
 
 def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
-    """The fit with the lowest inertia over several seeds."""
-    fits = [
-        KMeans(k=k, seed=SEED + s, maxIter=300, tol=1e-4, featuresCol="features").fit(features)
-        for s in range(restarts)
-    ]
+    """The fit with the lowest inertia over several seeds; fits share the cluster's idle tasks."""
+
+    def fit(seed: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features").fit(features)
+
+    features = features.persist()
+    try:
+        with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
+            fits = pool.map(inheritable_thread_target(fit), range(SEED, SEED + restarts))
+    finally:
+        features.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 

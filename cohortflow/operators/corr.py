@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,8 +19,12 @@ from cohortflow.operators.relational import resolve_numeric
 from cohortflow.operators.skew import broadcast_if_small
 from cohortflow.session import stable
 
-PAIRS_PER_JOB = 60
-ROWS_PER_BUCKET = 500_000
+# functions of this module travel to the Python workers by value, so they need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+PAIRS_PER_CHUNK = 9
+MAX_CHUNKS = 5
+ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKET_ROWS = 100_000
 
 
@@ -64,11 +70,21 @@ def top_correlations(report: DataFrame, n: int = 5) -> DataFrame:
 
 
 def _pearson(numbers: DataFrame, pairs: list[tuple[int, int]], _: int) -> DataFrame:
-    """All pairs from one row of aggregates per chunk of pairs, so the table is scanned once each."""
+    """Few pairs: one row of aggregates per chunk, each chunk a scan of its own columns.
+
+    A chunk keeps its buffers below the 100 fields that whole-stage code generation takes
+    (spark.sql.codegen.maxFields). Many pairs would mean many scans, so they are laid out as rows of
+    a single scan and aggregated per pair.
+    """
+    if len(pairs) > MAX_CHUNKS * PAIRS_PER_CHUNK:
+        cov, vx, vy = F.covar_pop("x", "y"), F.var_pop("x"), F.var_pop("y")
+        long = _pair_rows(numbers, pairs).groupBy("pair")
+        measured = long.agg(F.try_divide(cov, F.sqrt(vx * vy)).alias("r"))
+        return _every_pair(measured, pairs)
     parts = []
-    for start in range(0, len(pairs), PAIRS_PER_JOB):
+    for start in range(0, len(pairs), PAIRS_PER_CHUNK):
         structs = []
-        for k, (i, j) in enumerate(pairs[start : start + PAIRS_PER_JOB], start=start):
+        for k, (i, j) in enumerate(pairs[start : start + PAIRS_PER_CHUNK], start=start):
             x, y = F.col(f"c{i}"), F.col(f"c{j}")
             spread = F.sqrt(
                 F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
@@ -79,21 +95,23 @@ def _pearson(numbers: DataFrame, pairs: list[tuple[int, int]], _: int) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def _cells(numbers: DataFrame, pairs, buckets: dict[str, Column] | None = None) -> DataFrame:
-    """Distinct value pairs with their row count, for all column pairs in one pass."""
+def _pair_rows(numbers: DataFrame, pairs, buckets: dict[str, Column] | None = None) -> DataFrame:
+    """One row per table row and column pair where both values are present."""
     structs = []
     for k, (i, j) in enumerate(pairs):
         fields = [F.lit(k).alias("pair"), F.col(f"c{i}").alias("x"), F.col(f"c{j}").alias("y")]
         if buckets:
             fields += [buckets[f"c{i}"].alias("xb"), buckets[f"c{j}"].alias("yb")]
         structs.append(F.struct(*fields))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return numbers.select(F.inline(F.array(*structs))).filter(both)
+
+
+def _cells(numbers: DataFrame, pairs, buckets: dict[str, Column] | None = None) -> DataFrame:
+    """Distinct value pairs with their row count, for all column pairs in one pass."""
     keys = ["pair", "x", "y"] + (["xb", "yb"] if buckets else [])
-    return (
-        numbers.select(F.inline(F.array(*structs)))
-        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = F.count(F.lit(1)).alias("n")
+    return _pair_rows(numbers, pairs, buckets).groupBy(*keys).agg(counted)
 
 
 # Spearman: average ranks from value buckets. A bucket is either an open interval between two cut
@@ -106,7 +124,8 @@ def _spearman(numbers: DataFrame, pairs, rows_per_bucket: int) -> DataFrame:
     cuts = min(-(-total // rows_per_bucket), max(1, MAX_BUCKET_ROWS // (4 * len(pairs))))
     bucketed, ids = _value_buckets(numbers, cuts)
     cells = _cells(bucketed, pairs, ids)
-    ranked = _with_rank(_with_rank(cells, "x", "y"), "y", "x")
+    sizes = {axis: _bucket_sizes(cells, axis) if cuts > 1 else None for axis in ("x", "y")}
+    ranked = _with_rank(_with_rank(cells, "x", "y", sizes["x"]), "y", "x", sizes["y"])
     n, rx, ry = F.col("n"), F.col("x_rank"), F.col("y_rank")
     sums = ranked.groupBy("pair").agg(
         F.sum(n).cast("double").alias("N"),
@@ -145,23 +164,37 @@ def _value_buckets(numbers: DataFrame, cuts: int) -> tuple[DataFrame, dict[str,
     return numbers, ids
 
 
-def _with_rank(cells: DataFrame, axis: str, other: str) -> DataFrame:
+def _bucket_sizes(cells: DataFrame, axis: str) -> DataFrame:
+    """Per pair and bucket: rows in it and rows in the buckets before; at most MAX_BUCKET_ROWS rows."""
     bucket = f"{axis}b"
     sizes = cells.groupBy("pair", bucket).agg(F.sum("n").alias("_size"))
     before = W.partitionBy("pair").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    single = F.col(bucket) % 2 == 0
-    spread = F.when(single, F.pmod(F.xxhash64(other), F.lit(1024))).otherwise(0)
-    group = W.partitionBy("pair", bucket, "_spread")
+    return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+
+
+def _with_rank(cells: DataFrame, axis: str, other: str, sizes: DataFrame | None) -> DataFrame:
+    """Adds the average rank of one axis; without ``sizes`` a pair is a single bucket."""
+    if sizes is None:
+        group = W.partitionBy("pair")
+    else:
+        single = F.col(f"{axis}b") % 2 == 0
+        # a hot value is a bucket of its own: its cells need no order, so they may be spread
+        spread = F.when(single, F.pmod(F.xxhash64(other), F.lit(1024))).otherwise(0)
+        cells = cells.withColumn("_spread", spread)
+        group = W.partitionBy("pair", f"{axis}b", "_spread")
     upto = F.sum("n").over(group.orderBy(axis))  # a range frame: equal values count together
-    ties = F.sum("n").over(W.partitionBy("pair", bucket, "_spread", axis))
-    rank = F.when(single, (F.col("_size") + 1) / 2).otherwise(upto - (ties - 1) / 2)
-    # at most MAX_BUCKET_ROWS bucket sizes, see the cut count
+    ties = F.sum("n").over(group.orderBy(axis).rangeBetween(W.currentRow, W.currentRow))
+    rank = upto - (ties - 1) / 2
+    if sizes is None:
+        return cells.withColumn(f"{axis}_rank", rank)
     return (
-        cells.withColumn("_spread", spread)
-        .join(F.broadcast(sizes), ["pair", bucket])
-        .withColumn(f"{axis}_rank", F.col("_before") + rank)
-        .drop("_spread", "_size", "_before")
+        cells.withColumn("_rank", rank)
+        .join(F.broadcast(sizes), ["pair", f"{axis}b"])
+        .withColumn(
+            f"{axis}_rank",
+            F.col("_before") + F.when(single, (F.col("_size") + 1) / 2).otherwise(F.col("_rank")),
+        )
+        .drop("_spread", "_rank", "_size", "_before")
     )
 
 

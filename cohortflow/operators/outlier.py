@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from cohortflow.functions.exprs import clean_double
 from cohortflow.operators.ranking import DIRECT_ROWS, exact_quantiles
 from cohortflow.operators.relational import resolve_numeric
 
+# functions of this module travel to the Python workers by value, so they need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 SAMPLE = 256
 SEED = 42
@@ -165,25 +170,42 @@ def _expected_depth(n: int) -> float:
 
 
 def _scorer(nodes: pd.DataFrame, size: int):
-    trees = [
-        (t["feature"].to_numpy(), t["split"].to_numpy(), t["child"].to_numpy(), t["depth"].to_numpy())
-        for _, t in nodes.groupby("tree")
-    ]
+    """A vectorised score; each tree is laid out as a full binary tree (children of i: 2i+1, 2i+2)."""
+    height = math.ceil(math.log2(max(size, 2)))
+    trees = [_full_tree(tree, height) for _, tree in nodes.groupby("tree")]
     norm = max(_expected_depth(size), 1e-12)
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        rows = np.arange(len(x))
+        values, start = x.ravel(), np.arange(len(x)) * x.shape[1]
         total = np.zeros(len(x))
-        for feature, split, child, depth in trees:
-            at = np.zeros(len(x), dtype=int)
-            while (inner := child[at] >= 0).any():
-                step = rows[inner]
-                here = at[step]
-                right = x[step, feature[here]] > split[here]
-                at[step] = child[here] + right
+        for feature, split, depth in trees:
+            at = np.zeros(len(x), dtype=np.intp)
+            for _ in range(height):
+                at = 2 * at + 1 + (values[start + feature[at]] > split[at])
             total += depth[at]
         return pd.Series(np.exp2(-total / (len(trees) * norm)))
 
-    return score
+    # not deterministic in Spark's terms: keeps the score filter from moving below a repartition
+    return score.asNondeterministic()
+
+
+def _full_tree(nodes: pd.DataFrame, height: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, split and depth per position; below a leaf every row goes left and keeps its depth."""
+    size = 2 ** (height + 1) - 1
+    feature, split = np.zeros(size, dtype=np.intp), np.full(size, np.inf)
+    depth = np.zeros(size)
+    given = nodes[["feature", "split", "child", "depth"]].to_numpy()
+    todo = [(0, 0)]
+    while todo:
+        node, place = todo.pop()
+        f, s, child, d = given[node]
+        if child >= 0:
+            feature[place], split[place] = int(f), s
+            todo += [(int(child), 2 * place + 1), (int(child) + 1, 2 * place + 2)]
+            continue
+        while place < size:
+            depth[place] = d
+            place = 2 * place + 1
+    return feature, split, depth

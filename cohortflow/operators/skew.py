@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.exprs import quoted
 from cohortflow.session import stable
 
-SHARES = 8192
+SHARES = 32_768
 HOT_ROWS = 2_000_000
 
 

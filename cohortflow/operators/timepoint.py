@@ -155,7 +155,7 @@ def assign_timepoints(
         duplicates = _duplicates(_positions(cold_flagged, plan), plan, list_chunk).unionByName(
             _duplicates(_hot_positions(*listed, plan), plan, list_chunk)
         )
-    counters = _counters(output, kept, duplicates, plan, total - profile.rows)
+    counters = _counters(output, flagged, plan, drop_unassigned, total - profile.rows)
     return TimepointResult(kept, duplicates, counters)
 
 
@@ -332,27 +332,26 @@ def _duplicates(contested: DataFrame, plan: _Plan, chunk: int) -> DataFrame:
 
 
 def _counters(
-    output: DataFrame, kept: DataFrame, duplicates: DataFrame, plan: _Plan, undated: int
+    output: DataFrame, flagged: DataFrame, plan: _Plan, drop_unassigned: bool, undated: int
 ) -> DataFrame:
     def total(test: Column) -> Column:
         return F.coalesce(F.sum(test.cast("bigint")), F.lit(0).cast("bigint"))
 
-    assigned = F.col("timepoint").isNotNull()
-    visits = output.agg(
-        total(~assigned).alias("unassigned"),
-        total(assigned & ~F.col("is_selected_visit")).alias("superseded"),
-    )
-    off = kept.agg(total(F.col("within_tolerance") == F.lit(False)).alias("off_schedule"))
-    contested = duplicates.select(plan.p, "timepoint_index").distinct()
-    crowd = contested.groupBy(plan.p).agg(F.count(F.lit(1)).alias("_n"))
-    clashes = crowd.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("collisions"),
-        F.count(F.lit(1)).alias("collision_participants"),
+    assigned, selected = F.col("timepoint").isNotNull(), F.col("is_selected_visit")
+    emitted = selected if drop_unassigned else F.lit(True)
+    crowds = (
+        flagged.filter(F.col("_tp").isNotNull())
+        .groupBy(plan.p, "_tp")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+        .groupBy(plan.p)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.struct(total(F.col("_n")).alias("all"), F.count(F.lit(1)).alias("people")))
+        .scalar()
     )
-    return visits.select(
+    return output.agg(
         F.lit(undated).cast("bigint").alias("undated"),
-        "*",
-        off.scalar().alias("off_schedule"),
-        clashes.select("collisions").scalar().alias("collisions"),
-        clashes.select("collision_participants").scalar().alias("collision_participants"),
-    )
+        total(~assigned).alias("unassigned"),
+        total(assigned & ~selected).alias("superseded"),
+        total(emitted & (F.col("within_tolerance") == F.lit(False))).alias("off_schedule"),
+    ).select("*", crowds["all"].alias("collisions"), crowds["people"].alias("collision_participants"))

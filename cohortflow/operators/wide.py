@@ -78,8 +78,9 @@ def long_rows(
 ) -> DataFrame:
     """Identity + dataset, field_name, field_value; one row per identity and field.
 
-    Values are deduplicated per person, visit and field before any join, with partial aggregation,
-    so a visit with very many rows reaches the joins with one row per field.
+    Values are deduplicated per person, visit and concept before any large join, on numeric keys and
+    with partial aggregation, so a visit with very many rows reaches the joins with one row per
+    concept. Field names are attached only to what is left.
     """
 
     def of_cohorts(name: str) -> DataFrame:
@@ -89,7 +90,7 @@ def long_rows(
         concept_map(tables["local_concept"].filter(F.col("cohort").isin(cohort_ids)), source_field)
     )
 
-    def labelled(name: str, concept: str, value: Column, source: int) -> DataFrame:
+    def granted(name: str, concept: str, value: Column, source: int) -> DataFrame:
         rows = of_cohorts(name).filter(F.col("visit_occurrence_id").isNotNull())
         return rows.select(
             "cohort_id",
@@ -98,16 +99,15 @@ def long_rows(
             F.col(concept).alias("concept_id"),
             value.alias("field_value"),
             F.lit(source).alias("_source"),
-        ).join(concepts, ["cohort_id", "concept_id"])
+        ).join(concepts, ["cohort_id", "concept_id"], "left_semi")
 
-    rows = labelled(
+    rows = granted(
         "measurement", "measurement_source_concept_id", F.col("value_as_number").cast("string"), 0
     ).unionByName(
-        labelled("observation", "observation_source_concept_id", F.col("value_as_string"), 1)
+        granted("observation", "observation_source_concept_id", F.col("value_as_string"), 1)
     )
-    keys = ["cohort_id", "person_id", "visit_occurrence_id", "dataset", "field_name"]
     ranked = F.struct("_source", "field_value")
-    slim = rows.groupBy(*keys).agg(
+    slim = rows.groupBy("cohort_id", "person_id", "visit_occurrence_id", "concept_id").agg(
         F.min(F.when(F.col("field_value").isNotNull(), ranked)).alias("_best")
     )
     visits = of_cohorts("visit_occurrence").select(
@@ -122,6 +122,7 @@ def long_rows(
     placed = (
         slim.join(visits, ["cohort_id", "visit_occurrence_id"])
         .join(people, ["cohort_id", "person_id"])
+        .join(concepts, ["cohort_id", "concept_id"])
         .select(
             "cohort_id",
             "Barcode",

@@ -29,7 +29,7 @@ from cohortflow.operators.timepoint import TimepointResult, assign_timepoints
 from cohortflow.operators.wide import coerce_numeric, numeric_fields, wide_stacked, wide_tables
 from cohortflow.plans import sql_texts
 from cohortflow.plans.sql_step import sql_transform
-from cohortflow.session import shared_folder
+from cohortflow.session import shared_folder, stage
 from cohortflow.sources import catalog, io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,7 @@ def locf_full_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = _visits(spark, sf_dir).timepoints.select(
         "o_custkey", "timepoint_index", "timepoint", F.col("o_totalprice").alias("price")
     )
+    visits = stage(visits, "visits")  # the fill reads its input several times
     return locf_fill(
         visits, {"price": [[1000, 250000]]}, participant_column="o_custkey", tiebreak_columns=["price"]
     ).filled
@@ -206,7 +207,8 @@ def outlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outlier_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_outliers(_line_measures(spark, sf_dir), "isolation_forest", MEASURES)
+    lines = io.spread_few_files(_line_measures(spark, sf_dir))  # scoring is heavy per row
+    return remove_outliers(lines, "isolation_forest", MEASURES)
 
 
 def corr_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +221,8 @@ def corr_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     discounted = F.when(F.col("l_returnflag") != "N", F.col("l_discount")).alias("discount")
-    return load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", discounted, "l_linenumber")
+    lines = load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", discounted, "l_linenumber")
+    return io.spread_few_files(lines)  # every row becomes one row per column pair
 
 
 def corr_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,9 +54,19 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     several later passes read different parts of it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    path = f"{_staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; call it when the results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_staging_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _staging_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"

@@ -28,6 +28,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"Unsupported file type {extension!r}; accepted: parquet, pq, csv, tsv")
 
 
+def spread_few_files(df: DataFrame) -> DataFrame:
+    """A scan of fewer files than cores is read by few tasks: spread its rows once.
+
+    Meant before work that costs much more per row than the shuffle. A table of many files comes
+    back as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
     """Read a declared format: csv, json (lines or one array), anything else is parquet.
 

@@ -70,9 +70,11 @@ def test_pearson(spark, pdf):
     close(values(correlation_report(frame(spark, pdf))), want)
 
 
-def test_pearson_in_several_chunks(spark, pdf, monkeypatch):
+@pytest.mark.parametrize("chunks", [5, 1])
+def test_pearson_in_several_chunks_and_in_one_scan(spark, pdf, monkeypatch, chunks):
     whole = values(correlation_report(frame(spark, pdf)))
-    monkeypatch.setattr(corr, "PAIRS_PER_JOB", 3)
+    monkeypatch.setattr(corr, "PAIRS_PER_CHUNK", 3)
+    monkeypatch.setattr(corr, "MAX_CHUNKS", chunks)
     assert values(correlation_report(frame(spark, pdf))) == whole
 
 
