@@ -8,7 +8,9 @@ back to rows that never move.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,11 +26,19 @@ from cohortflow.operators.skew import HOT_ROWS, ordered_pieces, profile_keys, sp
 @dataclass(frozen=True)
 class TimepointResult:
     """``timepoints``: the visits; ``duplicates``: one row per participant and contested window;
-    ``counters``: a one-row frame with the run's numbers."""
+    ``counters``: a one-row frame with the run's numbers. The two reports are planned on first use."""
 
     timepoints: DataFrame
-    duplicates: DataFrame
-    counters: DataFrame
+    _duplicates: Callable[[], DataFrame]
+    _counters: Callable[[], DataFrame]
+
+    @cached_property
+    def duplicates(self) -> DataFrame:
+        return self._duplicates()
+
+    @cached_property
+    def counters(self) -> DataFrame:
+        return self._counters()
 
 
 @dataclass(frozen=True)
@@ -138,25 +148,26 @@ def assign_timepoints(
         raise ValueError(f"{profile.missing} dated row(s) have no value in {participant_column!r}")
 
     if profile.hot is None:
-        flagged, listed = _by_windows(dated, plan), None
+        cold_flagged, hot_flagged = _by_windows(dated, plan), None
+        flagged = cold_flagged
     else:
         hot, cold = split_hot(dated, [participant_column], profile.hot)
-        hot_rows_ = with_row_ids(hot)
-        hot_flagged = _by_broadcast(hot_rows_, plan)
-        flagged = _by_windows(cold, plan).unionByName(hot_flagged.drop("_row"))
-        listed = (hot_flagged, profile.pieces)
+        cold_flagged, hot_flagged = _by_windows(cold, plan), _by_broadcast(with_row_ids(hot), plan)
+        flagged = cold_flagged.unionByName(hot_flagged.drop("_row"))
+
+    def duplicates() -> DataFrame:
+        report = _duplicates(_positions(cold_flagged, plan), plan, list_chunk)
+        if hot_flagged is None:
+            return report
+        hot_positions = _hot_positions(hot_flagged, profile.pieces, plan)
+        return report.unionByName(_duplicates(hot_positions, plan, list_chunk))
 
     output = _output(flagged, dated.columns, plan, tolerance)
-    kept = output.filter("is_selected_visit") if drop_unassigned else output
-    if listed is None:
-        duplicates = _duplicates(_positions(flagged, plan), plan, list_chunk)
-    else:
-        cold_flagged = _by_windows(cold, plan)
-        duplicates = _duplicates(_positions(cold_flagged, plan), plan, list_chunk).unionByName(
-            _duplicates(_hot_positions(*listed, plan), plan, list_chunk)
-        )
-    counters = _counters(output, flagged, plan, drop_unassigned, total - profile.rows)
-    return TimepointResult(kept, duplicates, counters)
+    return TimepointResult(
+        output.filter("is_selected_visit") if drop_unassigned else output,
+        duplicates,
+        lambda: _counters(output, flagged, plan, drop_unassigned, total - profile.rows),
+    )
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -179,31 +190,38 @@ def _parsed_date(df: DataFrame, name: str, date_format: str | None) -> Column:
 
 
 def _with_window_match(df: DataFrame, baseline: Column, plan: _Plan) -> DataFrame:
+    """Adds _years, _tp and _in (has a timepoint).
+
+    Filter on _in above a window, never on _tp: a filter on a partition key moves below the window,
+    where the whole window match would be spelled out inside the filter condition.
+    """
     days = whole_days(plan.d, baseline).cast("double")
-    return df.withColumn("_years", round_even(days / F.lit(plan.days_per_year), 2)).withColumn(
-        "_tp", plan.schedule.match(F.col("_years"))
+    return (
+        df.withColumn("_years", round_even(days / F.lit(plan.days_per_year), 2))
+        .withColumn("_tp", plan.schedule.match(F.col("_years")))
+        .withColumn("_in", F.col("_tp").isNotNull())
     )
 
 
 def _promotable(plan: _Plan) -> Column:
     top = plan.schedule.windows[0].high
-    return (F.col("_tp") == 1) & F.col("_years").between(F.lit(plan.promote_from), F.lit(top))
+    inside = F.col("_years").between(F.lit(plan.promote_from), F.lit(top))
+    return F.coalesce((F.col("_tp") == 1) & inside & ~F.col("_won"), F.lit(False))
 
 
 def _by_windows(df: DataFrame, plan: _Plan) -> DataFrame:
-    """Adds _years, _tp, _won (wins its window) and _promoted; one shuffle on the participant."""
+    """Adds _won (wins its window) and _promoted; one shuffle on the participant."""
     whole = W.partitionBy(plan.p)
     contest = W.partitionBy(plan.p, F.col("_tp")).orderBy(*plan.preference)
     out = _with_window_match(df, F.min(plan.d).over(whole), plan)
-    out = out.withColumn("_won", F.col("_tp").isNotNull() & (F.row_number().over(contest) == 1))
+    out = out.withColumn("_won", F.col("_in") & (F.row_number().over(contest) == 1))
     if plan.promote_from is None:
         return out.withColumn("_promoted", F.lit(False))
-    candidate = _promotable(plan) & ~F.col("_won")
     latest_first = whole.orderBy(
         F.col("_candidate").desc(), F.col("_years").desc(), *plan.visit_order
     )
     return (
-        out.withColumn("_candidate", F.coalesce(candidate, F.lit(False)))
+        out.withColumn("_candidate", _promotable(plan))
         .withColumn("_has_t2", F.max(F.coalesce(F.col("_tp") == 2, F.lit(False))).over(whole))
         .withColumn(
             "_promoted",
@@ -216,7 +234,8 @@ def _by_windows(df: DataFrame, plan: _Plan) -> DataFrame:
 def _by_broadcast(df: DataFrame, plan: _Plan) -> DataFrame:
     """The same columns for hot participants; ``df`` carries a materialised row id.
 
-    Every side that is broadcast has at most one row per hot participant and timepoint.
+    Every side that is broadcast has at most one row per hot participant and timepoint. Windows see
+    hot groups only under a top-1 filter, which keeps one row per group and task before the shuffle.
     """
     base = df.groupBy(plan.p).agg(F.min(plan.d).alias("_base"))
     out = _with_window_match(
@@ -224,9 +243,8 @@ def _by_broadcast(df: DataFrame, plan: _Plan) -> DataFrame:
     ).drop("_base")
     contest = W.partitionBy(plan.p, F.col("_tp")).orderBy(*plan.preference, F.col("_row"))
     winners = (
-        out.filter(F.col("_tp").isNotNull())
-        .withColumn("_rank", F.row_number().over(contest))
-        .filter("_rank = 1")
+        out.withColumn("_rank", F.row_number().over(contest))
+        .filter((F.col("_rank") == 1) & F.col("_in"))
         .select(plan.p, "_tp", F.col("_row").alias("_winner"))
     )
     out = (
@@ -237,12 +255,12 @@ def _by_broadcast(df: DataFrame, plan: _Plan) -> DataFrame:
     if plan.promote_from is None:
         return out.withColumn("_promoted", F.lit(False))
     latest_first = W.partitionBy(plan.p).orderBy(
-        F.col("_years").desc(), *plan.visit_order, F.col("_row")
+        F.col("_candidate").desc(), F.col("_years").desc(), *plan.visit_order, F.col("_row")
     )
     promoted = (
-        out.filter(_promotable(plan) & ~F.col("_won"))
+        out.withColumn("_candidate", _promotable(plan))
         .withColumn("_rank", F.row_number().over(latest_first))
-        .filter("_rank = 1")
+        .filter((F.col("_rank") == 1) & F.col("_candidate"))
         .join(F.broadcast(winners.filter("_tp = 2")), plan.participant, "left_anti")
         .select(F.col("_row"), F.lit(True).alias("_promoted"))
     )
@@ -273,11 +291,10 @@ def _positions(flagged: DataFrame, plan: _Plan) -> DataFrame:
     """Contested visits with their position in the window's visit order."""
     group = W.partitionBy(plan.p, F.col("_tp"))
     return (
-        flagged.filter(F.col("_tp").isNotNull())
-        .withColumn("_n", F.count(F.lit(1)).over(group))
+        flagged.withColumn("_n", F.count(F.lit(1)).over(group))
         .withColumn("_kept", F.max(F.when(F.col("_won"), F.col("_years"))).over(group))
         .withColumn("_pos", F.row_number().over(group.orderBy(*plan.visit_order)))
-        .filter("_n > 1")
+        .filter((F.col("_n") > 1) & F.col("_in"))
     )
 
 
@@ -285,16 +302,15 @@ def _hot_positions(flagged: DataFrame, pieces: int, plan: _Plan) -> DataFrame:
     """The same for hot participants: position inside a contiguous piece plus the rows before it."""
     group = [plan.p, F.col("_tp")]
     names = [plan.participant, "_tp"]
-    rows = flagged.filter(F.col("_tp").isNotNull())
     facts = (
-        rows.groupBy(*group)
+        flagged.groupBy(*group)
         .agg(
-            F.count(F.lit(1)).alias("_n"),
+            F.count(F.when(F.col("_in"), 1)).alias("_n"),
             F.max(F.when(F.col("_won"), F.col("_years"))).alias("_kept"),
         )
         .filter("_n > 1")
     )
-    cut = ordered_pieces(rows, [*group, *plan.visit_order], pieces)
+    cut = ordered_pieces(flagged, [*group, *plan.visit_order], pieces)
     # pieces are contiguous: at most (pieces + hot participants x timepoints) rows to broadcast
     before = W.partitionBy(*group).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -340,9 +356,8 @@ def _counters(
     assigned, selected = F.col("timepoint").isNotNull(), F.col("is_selected_visit")
     emitted = selected if drop_unassigned else F.lit(True)
     crowds = (
-        flagged.filter(F.col("_tp").isNotNull())
-        .groupBy(plan.p, "_tp")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        flagged.groupBy(plan.p, "_tp")
+        .agg(F.count(F.when(F.col("_in"), 1)).alias("_n"))
         .filter("_n > 1")
         .groupBy(plan.p)
         .agg(F.count(F.lit(1)).alias("_n"))
