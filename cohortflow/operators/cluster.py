@@ -26,7 +26,7 @@ SEED = 42
 RESTARTS = 10
 MICRO_CLUSTERS = 500
 NEIGHBOURS = 10
-PARALLEL_FITS = 5
+PARALLEL_FITS = 10
 
 
 @dataclass(frozen=True)
@@ -250,8 +250,11 @@ def _label(
 def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
     """The fit with the lowest inertia over several seeds; fits share the cluster's idle tasks."""
 
+    # all centres together may still move by a hundredth of a standard deviation
+    tol = 0.01 / k**0.5
+
     def fit(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features").fit(features)
+        return KMeans(k=k, seed=seed, maxIter=300, tol=tol, featuresCol="features").fit(features)
 
     features = features.persist()
     try:

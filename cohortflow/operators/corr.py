@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.exprs import clean_double, round_even
 from cohortflow.operators.relational import resolve_numeric
 from cohortflow.operators.skew import broadcast_if_small
-from cohortflow.session import stable
+from cohortflow.session import stable, stage
 
 # functions of this module travel to the Python workers by value, so they need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -124,7 +124,10 @@ def _spearman(numbers: DataFrame, pairs, rows_per_bucket: int) -> DataFrame:
     cuts = min(-(-total // rows_per_bucket), max(1, MAX_BUCKET_ROWS // (4 * len(pairs))))
     bucketed, ids = _value_buckets(numbers, cuts)
     cells = _cells(bucketed, pairs, ids)
-    sizes = {axis: _bucket_sizes(cells, axis) if cuts > 1 else None for axis in ("x", "y")}
+    sizes = {"x": None, "y": None}
+    if cuts > 1:
+        cells = stage(cells, "cells")
+        sizes = {axis: _bucket_sizes(cells, axis) for axis in sizes}
     ranked = _with_rank(_with_rank(cells, "x", "y", sizes["x"]), "y", "x", sizes["y"])
     n, rx, ry = F.col("n"), F.col("x_rank"), F.col("y_rank")
     sums = ranked.groupBy("pair").agg(
@@ -216,7 +219,7 @@ CUTS = 256
 def _kendall(
     numbers: DataFrame, pairs, _: int, leaf: int | None = None, cuts: int | None = None
 ) -> DataFrame:
-    cells = _cells(numbers, pairs)
+    cells = stage(_cells(numbers, pairs), "cells")  # read for each tie count and each cut
 
     def tied(*keys: str) -> DataFrame:
         t = F.col("t").cast("double")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.exprs import clean_double
 from cohortflow.operators.ranking import DIRECT_ROWS, exact_quantiles
 from cohortflow.operators.relational import resolve_numeric
+from cohortflow.session import stage
 
 # functions of this module travel to the Python workers by value, so they need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -111,7 +112,8 @@ def _by_forest(df: DataFrame, names: list[str], share: float, direct_rows: int)
     if facts["rows"] == 0:
         return df
     score = _scorer(_grow_forest(numbers), min(SAMPLE, facts["rows"]))
-    scored = df.withColumn("_score", score(*[clean_double(df, c) for c in names]))
+    # scores are read several times and are far dearer than a write
+    scored = stage(df.withColumn("_score", score(*[clean_double(df, c) for c in names])), "scores")
     cut = exact_quantiles(scored.select("_score"), ["_score"], [1.0 - share], direct_rows)["_score"][0]
     return scored.filter(F.col("_score") <= F.lit(cut)).drop("_score")
 

@@ -93,17 +93,28 @@ def one_value_per_key(df: DataFrame, keys: list[Column | str], value: str, *orde
     return df.groupBy(*keys).agg(smallest["_value"].alias(value))
 
 
+def pivot_fields(df: DataFrame, name: str) -> list[str]:
+    """The sorted distinct values of the column to pivot on, counted before they are read."""
+    found = df.select(name).dropna().distinct()
+    _check_pivot(df, found.count())
+    return sorted(r[0] for r in found.collect())
+
+
 def pivot_values(
     df: DataFrame, keys: list[str], name: str, value: str, fields: list[str], how: str = "min"
 ) -> DataFrame:
     """Long to wide with a given field list (``min`` of one value per cell, or ``avg``)."""
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    if len(fields) > limit:
-        raise ValueError(f"{len(fields)} pivot fields exceed spark.sql.pivotMaxValues={limit}")
+    _check_pivot(df, len(fields))
     pivoted = df.groupBy(*[F.col(quoted(k)) for k in keys]).pivot(name, fields)
     return pivoted.agg(getattr(F, how)(value))
 
 
+def _check_pivot(df: DataFrame, fields: int) -> None:
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    if fields > limit:
+        raise ValueError(f"{fields} pivot fields exceed spark.sql.pivotMaxValues={limit}")
+
+
 def repeated_keys(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)

@@ -107,7 +107,8 @@ def long_rows(
         granted("observation", "observation_source_concept_id", F.col("value_as_string"), 1)
     )
     ranked = F.struct("_source", "field_value")
-    slim = rows.groupBy("cohort_id", "person_id", "visit_occurrence_id", "concept_id").agg(
+    # the key with most values first: sorting compares its prefix
+    slim = rows.groupBy("visit_occurrence_id", "concept_id", "person_id", "cohort_id").agg(
         F.min(F.when(F.col("field_value").isNotNull(), ranked)).alias("_best")
     )
     visits = of_cohorts("visit_occurrence").select(
@@ -137,9 +138,8 @@ def long_rows(
             F.col("_best.field_value").alias("field_value"),
         )
     )
-    return one_value_per_key(
-        placed, ["cohort_id", *IDENTITY, "dataset", "field_name"], "field_value", "_source"
-    )
+    keys = [*reversed(IDENTITY), "field_name", "dataset", "cohort_id"]
+    return one_value_per_key(placed, keys, "field_value", "_source")
 
 
 def wide_tables(tables: Mapping[str, DataFrame], granted: list[int], org_name: str, **options) -> dict[str, DataFrame]:

@@ -390,6 +390,8 @@ ORACLES: dict[str, str] = {
     "granted_row_counts": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}" for t in COUNTED),
     "granted_view_columns": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders",
     "granted_table_rows": "SELECT * FROM supplier",
+    "parameter_query": """SELECT o_custkey, count(*) AS n, max(o_totalprice) AS top FROM orders
+        WHERE o_orderstatus = 'O' AND o_totalprice >= 50000 GROUP BY o_custkey""",
     "write_read_formats": "SELECT * FROM part",
     "export_read": "SELECT * FROM customer",
     "range_deviation_scores": f"""

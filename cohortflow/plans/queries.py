@@ -21,6 +21,7 @@ from cohortflow.operators.outlier import removal_report, remove_outliers
 from cohortflow.operators.prep import encoding_map, label_encode, scale
 from cohortflow.operators.relational import (
     one_value_per_key,
+    pivot_fields,
     pivot_values,
     repeated_keys,
     union_widen,
@@ -387,7 +388,7 @@ def first_value_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pivot_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
-    kinds = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]
+    kinds = pivot_fields(events, "event_type")
     wide = pivot_values(events, ["user_id"], "event_type", "value", kinds, "avg")
     return wide.select("user_id", *[round_even(F.col(k), 6).alias(k) for k in kinds])
 
@@ -512,6 +513,15 @@ def granted_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks.
 
 
+def parameter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    load(spark, sf_dir, "orders").createOrReplaceTempView("visits_queried")
+    text = """
+        SELECT o_custkey, count(*) AS n, max(o_totalprice) AS top FROM visits_queried
+        WHERE o_orderstatus = :status AND o_totalprice >= :low GROUP BY o_custkey
+    """
+    return io.run_query(spark, text, {"status": "O", "low": 50000.0})
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/out-{uuid.uuid4().hex}"
 
@@ -564,6 +574,10 @@ def cluster_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_patients(measurements(spark, sf_dir), 3, "kmeans", "range").patients
 
 
+def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_patients(measurements(spark, sf_dir), 3, "kmeans", "range", restarts=2).sizes
+
+
 def cluster_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_patients(measurements(spark, sf_dir), 4, "kmeans", "instrument").patients
 
@@ -644,11 +658,13 @@ QUERIES: dict[str, Query] = {
         granted_row_counts,
         granted_view_columns,
         granted_table_rows,
+        parameter_query,
         write_read_formats,
         export_read,
         range_deviation_scores,
         instrument_totals,
         cluster_kmeans,
+        cluster_sizes,
         cluster_severity,
         cluster_ward,
         cluster_spectral,
