@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortflow.functions.exprs import clean_double, round_even
 from cohortflow.operators.relational import resolve_numeric
 from cohortflow.operators.skew import broadcast_if_small
-from cohortflow.session import stable, stage
+from cohortflow.session import stage
 
 # functions of this module travel to the Python workers by value, so they need no installed package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -283,7 +283,7 @@ def _discordant(points: DataFrame, leaf: int, cuts: int) -> DataFrame:
         )
         .agg(F.sum("n").alias("n"))
     )
-    deeper = stable(same_x.unionByName(same_y))
+    deeper = stage(same_x.unionByName(same_y), "groups")
     done = small.groupBy(*key).applyInPandas(_count_discordant, "pair int, d double")
     return done.unionByName(matrix).unionByName(_discordant(deeper, leaf, cuts))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import quoted
-from cohortflow.session import stable
+from cohortflow.session import stage
 
 SHARES = 32_768
 HOT_ROWS = 2_000_000
@@ -80,7 +80,7 @@ def lookup(
 
 def with_row_ids(df: DataFrame, name: str = "_row") -> DataFrame:
     """Rows with a unique id that later passes can rely on (materialised before use)."""
-    return stable(df.withColumn(name, F.monotonically_increasing_id()))
+    return stage(df.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def ordered_pieces(df: DataFrame, order: list[Column], pieces: int, name: str = "_piece") -> DataFrame:
@@ -92,7 +92,7 @@ def ordered_pieces(df: DataFrame, order: list[Column], pieces: int, name: str =
     ranged = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(
         pieces, *order, F.col("_row")
     )
-    return stable(ranged.withColumn(name, F.spark_partition_id()))
+    return stage(ranged.withColumn(name, F.spark_partition_id()), "pieces")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:

@@ -41,17 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so later reads see the same rows after an executor loss."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as zstd Parquet in the shared folder and return a scan of it.
 
-    Unlike a checkpoint the staged table keeps column and partition pruning, which matters when
-    several later passes read different parts of it.
+    What is staged cuts the lineage and survives lost executors. Unlike a checkpoint it is computed
+    once, and later passes read only the columns and partitions they need.
     """
     spark = df.sparkSession
     path = f"{_staging_folder(spark)}/{name}-{uuid.uuid4().hex}"

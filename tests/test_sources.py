@@ -162,6 +162,8 @@ def test_outputs_come_from_the_first_one(spark, people, tmp_path):
     empty = io.empty_frame(spark, "a int, b string")
     io.write_output(empty, str(tmp_path / "empty"))
     assert spark.read.parquet(str(tmp_path / "empty")).columns == ["a", "b"]
+    io.write_output(empty, str(tmp_path / "empty.csv"), "csv")
+    assert io.read_table(spark, str(tmp_path / "empty.csv")).columns == ["a", "b"]
     with pytest.raises(ValueError):
         io.write_outputs(people, [])
 
@@ -190,6 +192,22 @@ def test_batches(spark):
             io.iter_batches(spark.range(5), bad)
 
 
+def test_jdbc_arguments(spark):
+    with pytest.raises(ValueError, match="Invalid table_name"):
+        io.jdbc_table(spark, "jdbc:none", "person; drop")
+    with pytest.raises(ValueError, match="bounds"):
+        io.jdbc_table(spark, "jdbc:none", "cdm.person", partition_column="person_id")
+
+
+def test_few_files_are_spread(spark, tmp_path):
+    df = spark.range(1000)
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    df.repartition(12).write.parquet(str(tmp_path / "many"))
+    few, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+    assert io.spread_few_files(few).rdd.getNumPartitions() == 8
+    assert io.spread_few_files(many) is many
+
+
 def test_query_with_parameters(spark, people):
     assert tuples(io.run_query(spark, "SELECT id FROM people WHERE secret = :s", {"s": "y"})) == [(2,)]
     assert repeated_keys(people.union(people), ["id"]).count() == 2
