@@ -259,7 +259,8 @@ def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
     features = features.persist()
     try:
         with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
-            fits = pool.map(inheritable_thread_target(fit), range(SEED, SEED + restarts))
+            in_session = inheritable_thread_target(features.sparkSession)(fit)
+            fits = pool.map(in_session, range(SEED, SEED + restarts))
     finally:
         features.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
