@@ -30,12 +30,12 @@ TEXTS: dict[str, tuple[list[str], str, str | None]] = {
         ["orders"],
         """
         SELECT o_orderkey,
-               row_number() OVER w AS position,
+               CAST(row_number() OVER w AS BIGINT) AS position,
                lag(o_totalprice) OVER w AS previous_price,
                max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
                                        ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS near_max,
-               dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS priority_rank,
-               ntile(4) OVER w AS quarter
+               CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS BIGINT) AS priority_rank,
+               CAST(ntile(4) OVER w AS BIGINT) AS quarter
         FROM orders
         WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
         """,
