@@ -144,7 +144,8 @@ def listed(pages: DataFrame) -> DataFrame:
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the list entries that were active on the day it was fetched."""
     pages = pick(read(spark, sf_dir, "pages"), "page_id", "url")
-    return judge(fetched(pages), listed(pages))
+    judged = judge(fetched(pages), listed(pages))
+    return judged.withColumns({day: F.col(day).cast("string") for day in ("fetched_on", "listed_on")})
 
 
 OP10_SQL = r"""
@@ -166,7 +167,7 @@ t AS (SELECT page_id, fetched_on, n, m,
 b AS (SELECT page_id, arg_max({'key': key, 'listed_on': listed_on, 'strict': strict}, m * 1000 + n) AS best
   FROM t JOIN v ON tried = key AND fetched_on >= listed_on AND (until IS NULL OR fetched_on < until) AND strict > 1
   GROUP BY page_id)
-SELECT page_id, url, fetched_on, host, coalesce(['off', 'allow', 'block'][best.strict], 'pass') AS verdict,
-  best.key AS entry, best.listed_on AS listed_on
+SELECT page_id, url, CAST(fetched_on AS VARCHAR) AS fetched_on, host, coalesce(['off', 'allow', 'block'][best.strict], 'pass') AS verdict,
+  best.key AS entry, CAST(best.listed_on AS VARCHAR) AS listed_on
 FROM p LEFT JOIN b USING (page_id)
 """
