@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from cohortflow.llm import dedup, mixing, sharding, urls
+from cohortflow.llm import dedup, mixing, packing, pii, quality, sharding, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_quality": quality.op2_quality,
+    "op3_packing": packing.op3_packing,
     "op5_exact_dedup": dedup.op5_exact_dedup,
+    "op6_pii": pii.op6_pii,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op9_hilbert_sharding": sharding.op9_hilbert_sharding,
     "op10_url_filters": urls.op10_url_filters,
 }
