@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from cohortflow.llm.common import pick, read
 from cohortflow.session import stage
 
-NEIGHBOURS = 24
-REVERSE = 12
-TABLES, BLOCK = 4, 400
-ROUNDS, FEW = 8, 0.02  #: rounds at most; fewer new edges than this share end them
-BEAM, EXPAND = 40, 8
+NEIGHBOURS, REVERSE = 48, 48
+TABLES, BLOCK = 4, 800
+ROUNDS, FEW = 6, 0.1  #: rounds at most; fewer new edges than this share end them
+BEAM, EXPAND = 64, 16
+BUCKET_NODES = 4_000  #: nodes whose neighbourhoods, or whose vectors, one task holds
 _SEED = 20240607
 
 
@@ -43,7 +43,7 @@ class Index:
 
     nodes: DataFrame
     edges: DataFrame
-    keep: int
+    count: int
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -142,37 +142,48 @@ def _keep_best(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _round(edges: DataFrame, shorts: DataFrame, buckets: int) -> DataFrame:
-    """Better neighbours that meet at a node both are linked with."""
+    """Better neighbours that meet at a node both are linked with.
+
+    Neighbourhoods are joined per bucket of nodes; a vector travels once to each bucket that needs it.
+    """
     back = edges.select(F.col("near").alias("node"), F.col("node").alias("near"), "fresh")
     spread = F.row_number().over(W.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "near")))
     back = back.withColumn("rank", spread).where(F.col("rank") <= REVERSE).drop("rank")
     around = edges.select("node", "near", "fresh").unionByName(back)
-    around = around.groupBy("node", "near").agg(F.max("fresh").alias("fresh"))
-    worst = edges.groupBy(F.col("node").alias("near")).agg(
-        F.min(F.when(F.lit(True), F.col("sim"))).alias("worst"), F.count(F.lit(1)).alias("held")
-    )
-    worst = worst.select("near", F.when(F.col("held") >= NEIGHBOURS, F.col("worst")).otherwise(-2.0).alias("worst"))
-    with_vectors = around.join(shorts.select(F.col("node").alias("near"), "short"), "near").join(worst, "near")
-    with_vectors = with_vectors.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
-
-    def meet(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("node", kind="stable")
-        near, fresh, worst_of = part["near"].to_numpy(), part["fresh"].to_numpy(bool), part["worst"].to_numpy()
-        x = np.frombuffer(b"".join(part["short"]), "<i2").reshape(len(part), -1).astype(np.float64) / 32767
-        starts = np.flatnonzero(np.r_[True, np.diff(part["node"].to_numpy()) != 0, True])
-        found: list[tuple] = [(near[:0], near[:0], np.zeros(0))]
+    around = around.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
+    held = F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.min("sim")).otherwise(-2.0).alias("worst")
+    worst = edges.groupBy("node").agg(held)
+    points = shorts.join(worst, "node", "left").select(F.col("node").alias("near"), "short", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
+    needed = around.select("bucket", "near").distinct().join(points, "near")
+    needed = needed.toDF("near", "place", "short", "worst")
+
+    def meet(part: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values("near")
+        ids, worst_of = points["near"].to_numpy(), points["worst"].to_numpy()
+        x = np.frombuffer(b"".join(points["short"]), "<i2").reshape(len(ids), -1).astype(np.float32) / np.float32(32767)
+        part = part.groupby(["node", "near"], as_index=False)["fresh"].max().sort_values("node", kind="stable")
+        node, fresh = part["node"].to_numpy(), part["fresh"].to_numpy(bool)
+        at = np.searchsorted(ids, part["near"].to_numpy())
+        starts = np.flatnonzero(np.r_[True, np.diff(node) != 0, True])
+        best = (ids[:0], ids[:0], np.zeros(0))
+        found, size = [best], 0
         for a, b in zip(starts, starts[1:], strict=False):
-            new = fresh[a:b]
+            new, m = fresh[a:b], at[a:b]
             if not new.any():
                 continue
-            s = x[a:b] @ x[a:b].T
-            useful = (new[:, None] | new[None, :]) & (s > worst_of[a:b, None])
+            s = x[m] @ x[m].T
+            useful = (new[:, None] | new[None, :]) & (s > worst_of[m][:, None])
             np.fill_diagonal(useful, False)
             i, j = np.nonzero(useful)
-            found.append((near[a:b][i], near[a:b][j], s[i, j]))
+            found.append((ids[m[i]], ids[m[j]], s[i, j].astype(float)))
+            size += len(i)
+            if size > 2_000_000:  # what has been found so far is cut to the best, so memory stays bounded
+                kept = _best(*map(np.concatenate, zip(*found, strict=True)), NEIGHBOURS)
+                found, size = [tuple(kept[c].to_numpy() for c in kept)], 0
         return _best(*map(np.concatenate, zip(*found, strict=True)), NEIGHBOURS)
 
-    return with_vectors.groupBy("bucket").applyInPandas(meet, "node long, near long, sim double")
+    grouped = around.groupBy("bucket").cogroup(needed.groupBy("place"))
+    return grouped.applyInPandas(meet, "node long, near long, sim double")
 
 
 def build(rows: DataFrame, results: int = 20) -> Index:
@@ -182,32 +193,50 @@ def build(rows: DataFrame, results: int = 20) -> Index:
     shorts = _shorts(nodes) if count else nodes.select("node", F.lit(b"").alias("short"))
     none = rows.sparkSession.createDataFrame([], "node long, near long, sim double, fresh boolean")
     if count < 2:
-        return Index(nodes, none, results + 1)
+        return Index(nodes, none, count)
     edges = _keep_best(_first_graph(shorts).withColumn("fresh", F.lit(True)), NEIGHBOURS)
     edges = stage(edges, "ann-edges")
-    buckets = max(8, count // 500)
+    buckets = max(8, count // BUCKET_NODES)
     for _ in range(ROUNDS):
         found = _round(edges, shorts, buckets).withColumn("fresh", F.lit(True))
         old = edges.withColumn("fresh", F.lit(False))
         edges = stage(_keep_best(old.unionByName(found), NEIGHBOURS), "ann-edges")
         if edges.where("fresh").count() < FEW * count * NEIGHBOURS:
             break
-    return Index(nodes, edges, results + 1)
+    return Index(nodes, edges, count)
 
 
 def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
-    """``query, node, sim`` of ``pairs (query, node)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sim = np.einsum("ij,ij->i", _matrix(batch.column("vec")), _matrix(batch.column("target")))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("query"), batch.column("node"), pa.array(sim)], names=["query", "node", "sim"]
-                )
+    """``query, node, sim`` of those ``pairs (query, node)`` that beat the query's ``worst``.
 
-    joined = pairs.join(index.nodes.select("node", "vec"), "node").join(queries.select("query", "target"), "query")
-    return joined.select("query", "node", "vec", "target").mapInArrow(run, "query long, node long, sim double")
+    Pairs meet the vectors in parts of the nodes; a target travels once to each part that it needs.
+    """
+    parts = F.pmod(F.xxhash64("node"), F.lit(max(1, index.count // BUCKET_NODES)))
+    pairs = pairs.withColumn("part", parts)
+    targets = pairs.select("part", "query").distinct().join(queries, "query")
+    none = F.lit(None).cast("array<double>")
+    rows = pairs.select("part", "query", "node", none.alias("target"), F.lit(None).cast("double").alias("worst"))
+    rows = rows.unionByName(targets.select("part", "query", F.lit(None).cast("long").alias("node"), "target", "worst"))
+    vectors = index.nodes.select("node", "vec").withColumn("part", parts)
+
+    def dot(rows: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        asked = rows[rows["node"].notna()]
+        if not len(asked):
+            return pd.DataFrame({"query": [], "node": [], "sim": []})
+        targets, vectors = rows[rows["node"].isna()].sort_values("query"), vectors.sort_values("node")
+        query, node = asked["query"].to_numpy(np.int64), asked["node"].to_numpy(np.int64)
+        t, v = _matrix(targets["target"]), _matrix(vectors["vec"])
+        i = np.searchsorted(targets["query"].to_numpy(np.int64), query)
+        j = np.searchsorted(vectors["node"].to_numpy(np.int64), node)
+        sim = np.empty(len(query))
+        for a in range(0, len(query), 20_000):
+            piece = slice(a, a + 20_000)
+            sim[piece] = np.einsum("ij,ij->i", t[i[piece]], v[j[piece]])
+        good = sim > targets["worst"].to_numpy()[i]
+        return pd.DataFrame({"query": query[good], "node": node[good], "sim": sim[good]})
+
+    grouped = rows.groupBy("part").cogroup(vectors.groupBy("part"))
+    return grouped.applyInPandas(dot, "query long, node long, sim double")
 
 
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
@@ -219,20 +248,23 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
     by_sim = W.partitionBy("query").orderBy(F.desc("sim"), "node")
     queries = stage(queries, "ann-queries")
     graph = index.edges.select("node", "near")
+    low = F.lit(float("-inf"))
     start = queries.select("query", F.col("entry").alias("node"))
-    state = stage(_scored(start, index, queries).withColumn("done", F.lit(False)), "ann-beam")
+    state = _scored(start, index, queries.select("query", "target", low.alias("worst")))
+    state = stage(state.withColumn("done", F.lit(False)), "ann-beam")
     while True:
-        open_rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("sim"), "node"))
-        front = state.where("NOT done").withColumn("rank", open_rank).where(F.col("rank") <= expand)
+        front = state.where("NOT done").withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= expand)
         front = stage(front.select("query", "node"), "ann-front")
         if front.isEmpty():
             return state.select("query", "node", "sim")
         reached = front.join(graph, "node").select("query", F.col("near").alias("node")).distinct()
         reached = reached.join(state.select("query", "node"), ["query", "node"], "left_anti")
-        met = _scored(reached, index, queries).withColumn("done", F.lit(False))
+        worst = state.groupBy("query").agg(F.when(F.count(F.lit(1)) >= beam, F.min("sim")).otherwise(low).alias("worst"))
+        met = _scored(reached, index, queries.join(worst, "query").select("query", "target", "worst"))
         marked = state.join(front.withColumn("now", F.lit(True)), ["query", "node"], "left")
         marked = marked.select("query", "node", "sim", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        both = marked.unionByName(met).withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= beam)
+        both = marked.unionByName(met.withColumn("done", F.lit(False)))
+        both = both.withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= beam)
         state = stage(both.drop("rank"), "ann-beam")
 
 

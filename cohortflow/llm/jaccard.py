@@ -86,10 +86,10 @@ def _schema(*columns: str) -> str:
 
 
 def profile(docs: DataFrame, words: int) -> DataFrame:
-    """A written table: ``doc_id, n, digest`` per document, and rows ``cell, df`` of the sketch."""
-    narrow = pick(docs, "doc_id", "text")
+    """A written table: ``doc_id, key, n, digest`` per document, and rows ``cell, df`` of the sketch."""
+    narrow = pick(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "digest", "cell", "df"]
+    names = ["doc_id", "key", "n", "digest", "cell", "df"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, cells = Shingler(words), np.zeros(CELLS, np.int64)
@@ -103,6 +103,7 @@ def profile(docs: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(block.start, m),
+                        batch.column("key").slice(block.start, m),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.nulls(m, pa.int32()),
@@ -113,12 +114,12 @@ def profile(docs: DataFrame, words: int) -> DataFrame:
         at = np.flatnonzero(cells)
         if len(at):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
-                 pa.array(at, pa.int32()), pa.array(cells[at])],
+                [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()),
+                 pa.nulls(len(at), pa.binary()), pa.array(at, pa.int32()), pa.array(cells[at])],
                 names=names,
             )
 
-    columns = _schema(f"doc_id {kind}", "n long", "digest binary", "cell int", "df long")
+    columns = _schema(f"doc_id {kind}", "key long", "n long", "digest binary", "cell int", "df long")
     return stage(narrow.mapInArrow(run, columns), "jaccard-profile")
 
 
@@ -292,7 +293,7 @@ def components(docs: DataFrame, found: DataFrame, words: int, percent: int) -> D
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs``.
+    """``doc_id, key, n_shingles, component_id`` per row of ``docs``; ``key`` is a hash of the text.
 
     Two documents are linked if their sets of word n-grams share ``percent`` of their union; the
     component id is the smallest doc_id reachable by links. Null, empty and blank texts have an empty
@@ -304,32 +305,34 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     known = components(docs, found, words, percent)
     named = found.select("digest", "node").join(known, "node", "left")
     named = stage(named.select("digest", F.coalesce("component", "node").alias("component")), "jaccard-named")
-    rows = profiled.where("cell IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "digest")
+    rows = profiled.where("cell IS NULL").select("doc_id", "key", F.col("n").alias("n_shingles"), "digest")
     copies = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("low"))
     lowest = stage(copies, "jaccard-copies").join(named, "digest")
     by_component = stage(lowest.groupBy("component").agg(F.min("low").alias("low")), "jaccard-lowest")
     resolved = stage(named.join(by_component, "component").select("digest", "low"), "jaccard-resolved")
-    alone = rows.where("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = rows.where("digest IS NULL").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"))
     grouped = rows.where("digest IS NOT NULL").join(resolved, "digest")
-    return grouped.select("doc_id", "n_shingles", F.col("low").alias("component_id")).unionByName(alone)
+    return grouped.select("doc_id", "key", "n_shingles", F.col("low").alias("component_id")).unionByName(alone)
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which no similar one has a smaller id.
 
-    Rows whose id is null stand for themselves and stay; so do all rows that repeat the smallest id.
+    Rows whose id is null stand for themselves and stay; so do all rows that carry a group's smallest id.
     """
-    lost = near_groups(docs, words, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("lost")).distinct()
+    lost = near_groups(docs, words, percent).where("doc_id <> component_id")
+    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("key").alias("lost_key")).distinct()
     lost = stage(lost, "jaccard-lost")
     inner = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*inner)
-    doc_id = F.col(inner[docs.columns.index("doc_id")])
-    return rows.join(small(lost, lost.count()), doc_id == F.col("lost"), "left_anti").toDF(*docs.columns)
+    doc_id, text = (F.col(inner[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    same = (doc_id == F.col("lost_id")) & (F.xxhash64(text) == F.col("lost_key"))
+    return rows.join(small(lost, lost.count()), same, "left_anti").toDF(*docs.columns)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under links of nine tenths of three-word shingles."""
-    return near_groups(read(spark, sf_dir, "documents"), words=3, percent=90)
+    return near_groups(read(spark, sf_dir, "documents"), words=3, percent=90).drop("key")
 
 
 OP4_SQL = r"""
