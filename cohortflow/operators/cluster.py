@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+import pandas as pd
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +19,9 @@ from cohortflow.functions.exprs import clean_double, round_even
 from cohortflow.operators.relational import require_columns
 from cohortflow.session import stage
 
+# functions of this module travel to the Python workers by value, so they need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Names of three clusters, ranked by ascending mean score.
 RISK_NAMES = ("Low Risk", "Moderate Risk", "High Risk")
 SEVERITY_NAMES = ("Low Severity", "Moderate Severity", "High Severity")
@@ -110,7 +115,7 @@ def cluster_patients(
     """Cluster persons by their standardised mean measurements.
 
     Algorithms: ``kmeans``; ``agglomerative`` (Ward) and ``spectral`` (nearest-neighbour affinity)
-    work on all distinct persons up to ``micro_clusters`` and on k-means micro-clusters beyond.
+    group ``micro_clusters`` k-means micro-clusters, at every table size.
     Scoring ``range`` names clusters by risk from reference ranges, ``instrument`` by HAM-D total.
     """
     needed = ["person_id", "measurement_id", "measurement_source_value", "value_as_number"]
@@ -221,30 +226,17 @@ def _label(
         model = _best_kmeans(features, k, restarts)
         return model.setPredictionCol("cluster").transform(features)
 
-    distinct = features.groupBy("z").agg(F.count(F.lit(1)).alias("n"))
-    if distinct.count() <= micro_clusters:
-        found = distinct.orderBy("z").collect()
-        centres = np.array([r["z"] for r in found])
-        weights = np.array([float(r["n"]) for r in found])
-        groups = _group(centres, weights, k, algorithm, restarts, features)
-        mapping = features.sparkSession.createDataFrame(
-            [(r["z"], int(g)) for r, g in zip(found, groups)], "z array<double>, cluster int"
-        )
-        return features.join(F.broadcast(mapping), "z")  # at most micro_clusters rows
-
     micro = KMeans(
         k=micro_clusters, seed=SEED, initMode="random", maxIter=10, featuresCol="features"
     ).fit(features)
-    assigned = micro.setPredictionCol("_micro").transform(features)
-    counted = assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes = {r["_micro"]: float(r["n"]) for r in counted}
-    ids = sorted(sizes)
-    centres = np.array(micro.clusterCenters())[ids]
-    groups = _group(centres, np.array([sizes[i] for i in ids]), k, algorithm, restarts, features)
-    mapping = features.sparkSession.createDataFrame(
-        [(i, int(g)) for i, g in zip(ids, groups)], "_micro int, cluster int"
+    assigned = stage(micro.setPredictionCol("_micro").transform(features).drop("features"), "micro")
+    assigned = assigned.withColumn("features", array_to_vector("z"))
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(micro.clusterCenters())]
+    points = features.sparkSession.createDataFrame(centres, "_micro int, centre array<double>").join(
+        assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")), "_micro"
     )
-    return assigned.join(F.broadcast(mapping), "_micro").drop("_micro")
+    groups = _group(points, k, algorithm, restarts)
+    return assigned.join(F.broadcast(groups), "_micro").drop("_micro")  # at most micro_clusters rows
 
 
 def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
@@ -266,17 +258,26 @@ def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def _group(centres, weights, k: int, algorithm: str, restarts: int, features: DataFrame):
-    """Labels of at most ``micro_clusters`` centres."""
-    k = min(k, len(centres))
-    if algorithm == "agglomerative":
-        return _ward(centres, weights, k)
-    embedded = _spectral_embedding(centres, k)
-    rows = features.sparkSession.createDataFrame(
-        [(i, [float(x) for x in row]) for i, row in enumerate(embedded)], "i int, e array<double>"
-    ).withColumn("features", array_to_vector("e"))
-    found = _best_kmeans(rows, k, restarts).transform(rows).select("i", "prediction").collect()
-    return [r["prediction"] for r in sorted(found, key=lambda r: r["i"])]
+def _group(points: DataFrame, k: int, algorithm: str, restarts: int) -> DataFrame:
+    """``_micro, cluster`` of the micro-clusters (``_micro, centre, n``): a bounded table, one task."""
+    ward = algorithm == "agglomerative"
+
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_micro")
+        centres, wanted = np.stack(rows["centre"].to_numpy()), min(k, len(rows))
+        if ward:
+            found = _ward(centres, rows["n"].to_numpy(dtype=float), wanted)
+            return pd.DataFrame({"_micro": rows["_micro"], "cluster": found.astype(np.int32)})
+        return pd.DataFrame({"_micro": rows["_micro"], "e": list(_spectral_embedding(centres, wanted))})
+
+    schema = "_micro int, cluster int" if ward else "_micro int, e array<double>"
+    # staged, as what follows reads it more than once
+    found = stage(points.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(work, schema), "groups")
+    if ward:
+        return found
+    rows = found.withColumn("features", array_to_vector("e"))
+    model = _best_kmeans(rows, min(k, found.count()), restarts).setPredictionCol("cluster")
+    return model.transform(rows).select("_micro", "cluster")
 
 
 def _ward(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
@@ -305,7 +306,9 @@ def _ward(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
 
 def _spectral_embedding(points: np.ndarray, k: int) -> np.ndarray:
     """Leading eigenvectors of the normalised nearest-neighbour graph (each point is its own neighbour)."""
-    gaps = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
+    square = (points**2).sum(axis=1)
+    gaps = np.maximum(square[:, None] + square[None, :] - 2 * points @ points.T, 0.0)
+    np.fill_diagonal(gaps, 0.0)
     near = np.argsort(gaps, axis=1, kind="stable")[:, : min(NEIGHBOURS, len(points))]
     graph = np.zeros_like(gaps)
     np.put_along_axis(graph, near, 1.0, axis=1)

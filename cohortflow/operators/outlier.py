@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import clean_double
@@ -48,7 +48,7 @@ def remove_outliers(
     if method == "isolation_forest":
         share = 0.05 if given is None else given
         if not 0.0 < share < 0.5:
-            raise ValueError("Isolation forest contamination must be between 0.0 and 0.5")
+            raise ValueError(f"The share to drop must lie between 0 and 0.5, got {share}")
         return _by_forest(df, names, share, direct_rows)
     raise ValueError(f"Unknown method: {method!r}")
 
@@ -108,43 +108,58 @@ def _by_forest(df: DataFrame, names: list[str], share: float, direct_rows: int)
         F.count(F.lit(1)).alias("rows"), F.count(F.when(holes, 1)).alias("holes")
     ).first()
     if facts["holes"]:
-        raise ValueError(f"{facts['holes']} row(s) have missing values in the checked columns")
+        raise ValueError(f"The isolation forest takes no gaps: {facts['holes']} row(s) lack a checked value")
     if facts["rows"] == 0:
         return df
-    score = _scorer(_grow_forest(numbers), min(SAMPLE, facts["rows"]))
+    score = _scorer(_grow_forest(numbers, facts["rows"]), min(SAMPLE, facts["rows"]))
     # scores are read several times and are far dearer than a write
     scored = stage(df.withColumn("_score", score(*[clean_double(df, c) for c in names])), "scores")
     cut = exact_quantiles(scored.select("_score"), ["_score"], [1.0 - share], direct_rows)["_score"][0]
     return scored.filter(F.col("_score") <= F.lit(cut)).drop("_score")
 
 
-def _grow_forest(numbers: DataFrame) -> pd.DataFrame:
-    """Grow the trees in parallel from one uniform sample of the rows (bounded size).
+def _grow_forest(numbers: DataFrame, rows: int) -> pd.DataFrame:
+    """Grow every tree in a task of its own, from SAMPLE rows that hashes of the values choose.
 
-    The sample holds TREES * SAMPLE rows whatever the table's size, each tree draws its own SAMPLE
-    rows from it. The nodes returned are at most 2 * SAMPLE - 1 per tree.
+    Equal rows are counted first. For each tree a row's copies pass a threshold that lets through
+    about 4 * SAMPLE rows, and the SAMPLE lowest hashes of those are taken. So each tree draws from
+    the whole table, and the draw depends on the values alone, not on partitions or their order. The
+    nodes returned are at most 2 * SAMPLE - 1 per tree.
     """
-    spark = numbers.sparkSession
-    pool = numbers.orderBy(F.rand(SEED)).limit(TREES * SAMPLE).toPandas().to_numpy(dtype=float)
-    shared = spark.sparkContext.broadcast(pool)
+    names = numbers.columns
+    share = min(1.0, 4 * SAMPLE / rows)
+    counted = numbers.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+
+    def draw(tree: Column, copy: Column | None = None) -> Column:
+        parts = [F.lit(SEED), tree, *[F.col(c) for c in names], *([] if copy is None else [copy])]
+        return (F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+
+    # expected copies, rounded up or down by the hash: a value that fills the table is not drawn whole
+    trees = F.sequence(F.lit(0), F.lit(TREES - 1))
+    passed = F.transform(
+        trees, lambda t: F.struct(t.alias("tree"), F.floor(F.col("_n") * share + draw(t)).cast("int").alias("copies"))
+    )
+    drawn = counted.select(*names, F.explode(F.filter(passed, lambda p: p["copies"] > 0)).alias("_p"))
+    drawn = drawn.select(*names, F.col("_p.tree").alias("tree"), F.explode(F.sequence(F.lit(1), F.col("_p.copies"))).alias("_copy"))
+    order = W.partitionBy("tree").orderBy(draw(F.col("tree"), F.col("_copy")), *names)
+    chosen = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= SAMPLE)
 
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for tree in batch["id"]:
-                yield _grow_tree(shared.value, int(tree))
+    def grow(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_rank")
+        return _grow_tree(rows[names].to_numpy(dtype=float), int(rows["tree"].iloc[0]))
 
-    nodes = spark.range(TREES).mapInPandas(
+    nodes = chosen.groupBy("tree").applyInPandas(
         grow, "tree int, node int, feature int, split double, child int, depth double"
     )
     return nodes.toPandas().sort_values(["tree", "node"])
 
 
-def _grow_tree(pool: np.ndarray, tree: int) -> pd.DataFrame:
+def _grow_tree(sample: np.ndarray, tree: int) -> pd.DataFrame:
     rng = np.random.default_rng([SEED, tree])
-    size = min(SAMPLE, len(pool))
+    size = len(sample)
     height = math.ceil(math.log2(max(size, 2)))
     nodes: list[list] = [[tree, 0, -1, 0.0, -1, 0.0]]
-    todo = [(0, pool[rng.choice(len(pool), size, replace=False)], 0)]
+    todo = [(0, sample, 0)]
     while todo:
         node, rows, depth = todo.pop()
         low, high = rows.min(axis=0), rows.max(axis=0)

@@ -12,10 +12,12 @@ from cohortflow.functions.exprs import clean_double, nan_to_null, quoted
 from cohortflow.operators.ranking import dense_index
 from cohortflow.operators.relational import resolve_numeric
 from cohortflow.operators.skew import HOT_ROWS, lookup
+from cohortflow.session import stage
 
 # Fixed value: the label of a missing category.
 MISSING = "__missing__"
-BROADCAST_ENTRIES = 200_000
+# A dictionary is broadcast up to so many entries and bytes (its longest text times its entries).
+BROADCAST_ENTRIES, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def scale(df: DataFrame, method: str = "standard", columns: str | list[str] | None = None) -> DataFrame:
@@ -51,10 +53,12 @@ def label_encode(
     """Adds ``<column>_encoded``: the position of the value's text among the sorted distinct texts."""
     for column in _encoded_columns(df, columns):
         dictionary, size = _dictionary(df, column)
+        dictionary = stage(dictionary, "dictionary")  # counted, then joined
+        width = dictionary.agg(F.max(F.octet_length("_text"))).first()[0] or 0
         target = f"{column}_encoded"
         dictionary = dictionary.select("_text", F.col("label").alias(target))
         texted = df.drop(target).withColumn("_text", _as_text(df, column))
-        if size <= BROADCAST_ENTRIES:
+        if size <= BROADCAST_ENTRIES and width * size <= BROADCAST_BYTES:
             joined = texted.join(F.broadcast(dictionary), "_text", "left")
         else:
             joined = lookup(texted, dictionary, ["_text"], "left", hot_rows)
@@ -87,11 +91,35 @@ def _as_text(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.BooleanType):
         text = F.when(col, F.lit("True")).when(~col, F.lit("False"))
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = nan_to_null(col).cast("string")
+        text = _float_text(nan_to_null(col).cast("string"))
     else:
         text = col.cast("string")
     return F.coalesce(text, F.lit(MISSING))
 
 
+def _float_text(spelled: Column) -> Column:
+    """A float's text in the spelling of Python: without exponent from 1e-4 up to 1e16.
+
+    Spark spells 1.0E7 and 1.0E-4; the digits and the exponent are kept and only written otherwise.
+    """
+    part = lambda i: F.regexp_extract(spelled, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
+    exponent = part(4).cast("int")
+    rest = F.when(part(3) == "0", F.lit("")).otherwise(part(3))
+    digits = F.concat(part(2), rest)
+    whole = F.rpad(F.substr(digits, F.lit(1), exponent + 1), exponent + 1, "0")
+    after = F.substr(digits, exponent + 2, F.length(digits))
+    large = F.concat(whole, F.lit("."), F.when(after == "", F.lit("0")).otherwise(after))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    mantissa = F.concat(part(2), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)))
+    sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
+    power = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), "0")
+    unsigned = (
+        F.when(exponent.between(0, 15), large)
+        .when(exponent.between(-4, -1), small)
+        .otherwise(F.concat(mantissa, sign, power))
+    )
+    return F.when(spelled.contains("E"), F.concat(part(1), unsigned)).otherwise(spelled)
+
+
 def _dictionary(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return dense_index(df.select(_as_text(df, name).alias("_text")).distinct(), "_text", "label")

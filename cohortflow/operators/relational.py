@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from cohortflow.functions.exprs import quoted
 
 
+_MOMENTS = (T.DateType, T.TimestampNTZType, T.TimestampType)
+
+
 def require_columns(df: DataFrame, names: list[str]) -> None:
     for name in names:
         if name not in df.columns:
@@ -53,7 +56,8 @@ def lead_then_sorted(df: DataFrame, lead: list[str]) -> DataFrame:
 def union_widen(frames: list[DataFrame]) -> DataFrame:
     """Union by name over different column sets; conflicting types meet in a common one.
 
-    Whole numbers widen to bigint, numbers to double, anything else to string. The cast is explicit
+    Whole numbers widen to bigint, decimals to the decimal that holds them all, other numbers to double,
+    dates and timestamps to a timestamp, anything else to string. The cast is explicit
     because an implicit string-to-number union fails at run time under ANSI rules.
     """
     if not frames:
@@ -76,10 +80,15 @@ def _common_type(types: list[T.DataType]) -> T.DataType:
         return known[0]
     if all(isinstance(t, T.IntegralType) for t in known):
         return T.LongType()
+    if all(isinstance(t, T.DecimalType) for t in known):
+        scale = max(t.scale for t in known)
+        digits = max(t.precision - t.scale for t in known) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.DoubleType()
     if all(is_numeric(t) for t in known):
         return T.DoubleType()
-    if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in known):
-        return T.TimestampNTZType()
+    if all(isinstance(t, _MOMENTS) for t in known):
+        zoned = any(isinstance(t, T.TimestampType) for t in known)
+        return T.TimestampType() if zoned else T.TimestampNTZType()
     return T.StringType()
 
 

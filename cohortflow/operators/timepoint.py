@@ -26,15 +26,21 @@ from cohortflow.operators.skew import HOT_ROWS, ordered_pieces, profile_keys, sp
 @dataclass(frozen=True)
 class TimepointResult:
     """``timepoints``: the visits; ``duplicates``: one row per participant and contested window;
-    ``counters``: a one-row frame with the run's numbers. The two reports are planned on first use."""
+    ``candidates``: the visits of those windows, one row each, which suits lists too long for one text;
+    ``counters``: a one-row frame with the run's numbers. The reports are planned on first use."""
 
     timepoints: DataFrame
-    _duplicates: Callable[[], DataFrame]
+    _contested: Callable[[], DataFrame]
+    _plan: _Plan
     _counters: Callable[[], DataFrame]
 
     @cached_property
     def duplicates(self) -> DataFrame:
-        return self._duplicates()
+        return _duplicates(self._contested(), self._plan)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return _candidates(self._contested(), self._plan)
 
     @cached_property
     def counters(self) -> DataFrame:
@@ -97,13 +103,12 @@ def assign_timepoints(
     date_format: str | None = None,
     tiebreak_columns: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
-    list_chunk: int = 100_000,
 ) -> TimepointResult:
     """Map each dated visit to a study timepoint by its time since the participant's first visit.
 
     Collision rules: ``latest`` (also any unknown word), ``earliest``, ``closest``. Equal dates are
-    ordered by ``tiebreak_columns`` (default: all other columns), so results are repeatable. A
-    duplicate-report list longer than ``list_chunk`` visits continues on further rows.
+    ordered by ``tiebreak_columns`` (default: all other columns), so results are repeatable. The
+    duplicate report has one row per collision; ``candidates`` lists the same visits one per row.
     """
     require_columns(df, [participant_column, date_column])
     schedule = build_schedule(scheme.strip(), custom_windows, int(max_timepoints or 20))
@@ -140,7 +145,7 @@ def assign_timepoints(
     dated = parsed.filter(plan.d.isNotNull())
     total = df.count()
     if total == 0:
-        raise ValueError("No rows left to process after filtering")
+        raise ValueError("No rows are left to assign")
     profile = profile_keys(dated, [participant_column], hot_rows)
     if profile.rows == 0:
         raise ValueError(f"Every row had a missing or unparseable {date_column}")
@@ -155,17 +160,18 @@ def assign_timepoints(
         cold_flagged, hot_flagged = _by_windows(cold, plan), _by_broadcast(with_row_ids(hot), plan)
         flagged = cold_flagged.unionByName(hot_flagged.drop("_row"))
 
-    def duplicates() -> DataFrame:
-        report = _duplicates(_positions(cold_flagged, plan), plan, list_chunk)
+    def contested() -> DataFrame:
+        shown = [plan.p, plan.d, *[F.col(c) for c in ("_tp", "_n", "_kept", "_pos", "_years")]]
+        found = _positions(cold_flagged, plan).select(*shown)
         if hot_flagged is None:
-            return report
-        hot_positions = _hot_positions(hot_flagged, profile.pieces, plan)
-        return report.unionByName(_duplicates(hot_positions, plan, list_chunk))
+            return found
+        return found.unionByName(_hot_positions(hot_flagged, profile.pieces, plan).select(*shown))
 
     output = _output(flagged, dated.columns, plan, tolerance)
     return TimepointResult(
         output.filter("is_selected_visit") if drop_unassigned else output,
-        duplicates,
+        contested,
+        plan,
         lambda: _counters(output, flagged, plan, drop_unassigned, total - profile.rows),
     )
 
@@ -327,23 +333,25 @@ def _hot_positions(flagged: DataFrame, pieces: int, plan: _Plan) -> DataFrame:
     )
 
 
-def _duplicates(contested: DataFrame, plan: _Plan, chunk: int) -> DataFrame:
-    part = F.floor((F.col("_pos") - 1) / F.lit(chunk)).alias("_part")
-    listing = "listagg({}, ', ') WITHIN GROUP (ORDER BY _pos)"
-    return (
-        contested.withColumn("_y", F.format_string("%.2f", F.col("_years")))
-        .withColumn("_d", F.date_format(plan.d, "yyyy-MM-dd"))
-        .groupBy(plan.p, "_tp", "_n", "_kept", part)
-        .agg(F.expr(listing.format("_y")).alias("_ys"), F.expr(listing.format("_d")).alias("_ds"))
-        .select(
-            plan.p,
-            F.concat(F.lit("T"), F.col("_tp").cast("string")).alias("timepoint"),
-            F.col("_tp").cast("bigint").alias("timepoint_index"),
-            F.col("_n").cast("bigint").alias("n_visits"),
-            F.col("_ys").alias("candidate_years"),
-            F.col("_ds").alias("candidate_dates"),
-            F.col("_kept").alias("kept_years"),
-        )
+def _candidates(contested: DataFrame, plan: _Plan) -> DataFrame:
+    return contested.select(
+        plan.p,
+        F.concat(F.lit("T"), F.col("_tp").cast("string")).alias("timepoint"),
+        F.col("_tp").cast("bigint").alias("timepoint_index"),
+        F.col("_n").cast("bigint").alias("n_visits"),
+        F.col("_pos").cast("bigint").alias("position"),
+        F.format_string("%.2f", F.col("_years")).alias("candidate_years"),
+        F.date_format(plan.d, "yyyy-MM-dd").alias("candidate_date"),
+        F.col("_kept").alias("kept_years"),
+    )
+
+
+def _duplicates(contested: DataFrame, plan: _Plan) -> DataFrame:
+    listing = "listagg({}, ', ') WITHIN GROUP (ORDER BY position)"
+    lists = [listing.format("candidate_years"), listing.format("candidate_date")]
+    grouped = _candidates(contested, plan).groupBy(plan.p, "timepoint", "timepoint_index", "n_visits", "kept_years")
+    return grouped.agg(F.expr(lists[0]).alias("candidate_years"), F.expr(lists[1]).alias("candidate_dates")).select(
+        plan.p, "timepoint", "timepoint_index", "n_visits", "candidate_years", "candidate_dates", "kept_years"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,19 +26,27 @@ def build_session(app_name: str = "cohortflow", master: str | None = None, **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder that the driver and every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Where the setting is missing, a folder named with ``SparkContext.setCheckpointDir`` counts. There
+    is no other fallback: a folder of one machine would lose data on a cluster.
     """
+    sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if named and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    folder = named or sc.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
+def name_local_folder(spark: SparkSession) -> None:
+    """Names a folder for runs on one machine (tests, benchmark, entry point); clusters name their own."""
     sc = spark.sparkContext
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortflow-"))
-    return sc.getCheckpointDir()
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None
+    if unset and re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        sc.setCheckpointDir(f"/tmp/checkpoints/{sc.applicationId}")
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -7,13 +7,21 @@ from collections.abc import Iterator, Mapping, Sequence
 from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from cohortflow.functions.exprs import quoted
+from cohortflow.session import stage
 from cohortflow.sources.catalog import AccessError, view_columns
 
 FETCH_ROWS = 50_000
+EXPORT_FORMATS = ("parquet", "csv")
+
+
+class NoColumnsError(AccessError):
+    """A view of which the catalog opens no column."""
+
+
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -23,11 +31,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if extension in ("parquet", "pq"):
         return spark.read.parquet(path)
     if extension in ("csv", "tsv"):
-        sep = "," if extension == "csv" else "\t"
-        return spark.read.csv(path, header=True, inferSchema=True, sep=sep)
+        return _csv_reader(spark.read, sep="," if extension == "csv" else "\t").csv(path, inferSchema=True)
     raise ValueError(f"Unsupported file type {extension!r}; accepted: parquet, pq, csv, tsv")
 
 
+def _csv_reader(reader: DataFrameReader, sep: str = ",") -> DataFrameReader:
+    """RFC 4180: doubled quotes, separators and line breaks inside quotes.
+
+    An empty field is NULL and a quoted empty one an empty text; a null marker that no file holds keeps
+    Spark from taking both for NULL.
+    """
+    return reader.options(header=True, sep=sep, quote='"', escape='"', multiLine=True, nullValue="\0")
+
+
 def spread_few_files(df: DataFrame) -> DataFrame:
     """A scan of fewer files than cores is read by few tasks: spread its rows once.
 
@@ -46,7 +62,7 @@ def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
     fmt = (fmt or "parquet").lower()
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
-        return reader.csv(path, header=True, inferSchema=schema is None)
+        return _csv_reader(reader).csv(path, inferSchema=schema is None)
     if fmt == "json":
         head = spark.read.text(path).filter("trim(value) <> ''").head(1)
         whole = bool(head) and head[0]["value"].lstrip().startswith("[")
@@ -54,33 +70,27 @@ def read_format(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
     return reader.parquet(path)
 
 
-def parse_row_limit(raw) -> int | None:
-    """None, blank and 0 mean all rows; negative or non-integer values raise."""
-    if raw is None or not str(raw).strip():
-        return None
-    try:
-        n = int(str(raw).strip())
-    except ValueError:
-        raise ValueError(f"Invalid row_limit: {raw!r} (must be a positive integer)") from None
-    if n < 0:
-        raise ValueError(f"row_limit must be >= 0, got {n}")
-    return n or None
+def row_cap(asked) -> int | None:
+    """How many rows a caller asks for; nothing, blank and zero ask for all of them."""
+    digits = "" if asked is None else str(asked).strip()
+    if digits and not digits.isdecimal():
+        raise ValueError(f"A row limit is a whole number of rows, not {asked!r}")
+    return int(digits or 0) or None
 
 
 def granted_table(spark: SparkSession, table: str, row_limit=None) -> DataFrame:
     """All columns of a table or temp view, with the optional row cap the caller asks for."""
     if not IDENTIFIER.fullmatch(table):
         raise ValueError(f"Invalid table_name: {table!r}")
-    limit = parse_row_limit(row_limit)
-    df = spark.table(table)
-    return df if limit is None else df.limit(limit)
+    cap, df = row_cap(row_limit), spark.table(table)
+    return df.limit(cap) if cap else df
 
 
 def granted_view(spark: SparkSession, views: DataFrame, view: str, max_rows: int | None = None) -> DataFrame:
     """Only the columns the catalog marks accessible; a view without any raises."""
     columns = view_columns(views, view)
     if not columns:
-        raise AccessError(f"View {view!r} has no accessible columns")
+        raise NoColumnsError(f"No column of view {view!r} may be read")
     df = spark.table(quoted(view)).select(*[quoted(c) for c in columns])
     return df if max_rows is None else df.limit(_positive(max_rows))
 
@@ -90,9 +100,13 @@ def granted_views(
 ) -> dict[str, DataFrame]:
     """Many views; those without accessible columns are skipped."""
     names = [r["name"] for r in views.select("name").collect()] if names is None else list(names)
-    return {
-        name: granted_view(spark, views, name, max_rows) for name in names if view_columns(views, name)
-    }
+    found = {}
+    for name in names:
+        try:
+            found[name] = granted_view(spark, views, name, max_rows)
+        except NoColumnsError:
+            continue
+    return found
 
 
 def jdbc_table(
@@ -101,7 +115,7 @@ def jdbc_table(
     table: str,
     partition_column: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """A warehouse table in parallel ranges of ``partition_column``; 50 000 rows per round trip."""
@@ -112,7 +126,10 @@ def jdbc_table(
         if not bounds:
             raise ValueError("partition_column needs bounds")
         reader = reader.options(
-            partitionColumn=partition_column, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions
+            partitionColumn=partition_column,
+            lowerBound=bounds[0],
+            upperBound=bounds[1],
+            numPartitions=partitions or spark.sparkContext.defaultParallelism,
         )
     return reader.load()
 
@@ -140,7 +157,8 @@ def write_output(df: DataFrame, path: str, fmt: str = "parquet", compression: st
     fmt = (fmt or "parquet").lower()
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.csv(path, header=True)
+        kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(header=True, quote='"', escape='"', **kept).csv(path)
     elif fmt == "json":
         writer.option("ignoreNullFields", "false").json(path)
     else:
@@ -151,24 +169,15 @@ def write_output(df: DataFrame, path: str, fmt: str = "parquet", compression: st
 def write_outputs(df: DataFrame, files: Sequence[Mapping], compression: str | None = "snappy") -> None:
     """Every declared output (path, format) gets the result.
 
-    The plan runs once: the first output is written from it, the others from what was written.
-    A text format loses types, so a parquet output goes first where there is one.
+    The plan runs once: several outputs are all written from one staged Parquet copy, never from a
+    text format, which loses types.
     """
     if not files:
         raise ValueError("At least one output is required")
-    ordered = sorted(files, key=lambda f: f.get("format", "parquet").lower() in ("csv", "json"))
-    first, *others = ordered
-    is_text = first.get("format", "parquet").lower() in ("csv", "json")
-    write_output(df, first["path"], first.get("format", "parquet"), compression)
-    if others:
-        spark = df.sparkSession
-        written = (
-            read_format(spark, first["path"], first["format"], df.schema)
-            if is_text
-            else spark.read.schema(df.schema).parquet(first["path"])
-        )
-        for f in others:
-            write_output(written, f["path"], f.get("format", "parquet"), compression)
+    if len(files) > 1:
+        df = stage(df, "outputs")
+    for f in files:
+        write_output(df, f["path"], f.get("format", "parquet"), compression)
 
 
 def write_fanout(df: DataFrame, paths: Sequence[str], compression: str | None = "snappy") -> None:
@@ -192,36 +201,37 @@ def export_tables(
 ) -> list[str]:
     """Write each granted table to ``<dest>/<table>.<format>``; stops at the first failure.
 
-    A table appears complete or not at all: Spark's commit protocol moves the files into place only
-    when every task is done.
+    All checks come before the first write. A table appears complete or not at all: Spark's commit
+    protocol moves the files into place only when every task is done.
     """
-    if file_format not in ("parquet", "csv"):
-        raise ValueError(f"Unsupported file_format: {file_format!r} (use 'parquet' or 'csv')")
-    if max_rows is not None:
-        _positive(max_rows)
-    names = list(tables) if names is None else list(names)
-    targets: dict[str, str] = {}
-    for name in names:
-        if name not in tables:
-            raise AccessError(f"Table {name!r} is not granted")
-        stem = re.sub(r"[^A-Za-z0-9._-]", "_", name.rsplit("/", 1)[-1]) or "table"
-        target = f"{dest.rstrip('/')}/{stem}.{file_format}"
-        if target in targets.values():
-            raise ValueError(f"Filename collision for table {name!r}: {stem}.{file_format}")
-        targets[name] = target
-    if not targets:
-        return []
-    spark = next(iter(tables.values())).sparkSession
+    wanted = [*tables] if names is None else [*names]
+    if denied := [name for name in wanted if name not in tables]:
+        raise AccessError(f"Not granted: {', '.join(denied)}")
+    if file_format not in EXPORT_FORMATS:
+        raise ValueError(f"Exports are written as {' or '.join(EXPORT_FORMATS)}, not as {file_format!r}")
+    cap = None if max_rows is None else _positive(max_rows)
+    targets = [f"{dest.rstrip('/')}/{_file_stem(name)}.{file_format}" for name in wanted]
+    if len(set(targets)) < len(targets):
+        raise ValueError(f"Two of these tables would share a file: {', '.join(wanted)}")
+    if targets:
+        _check_targets(tables[wanted[0]].sparkSession, dest, targets, overwrite, create_dir)
+    for name, target in zip(wanted, targets, strict=True):
+        write_output(tables[name].limit(cap) if cap else tables[name], target, file_format)
+    return targets
+
+
+def _file_stem(table: str) -> str:
+    """A file name for a table: its last path part, with anything unusual as an underscore."""
+    last = table.rpartition("/")[2]
+    return "".join(ch if ch.isascii() and (ch.isalnum() or ch in "._-") else "_" for ch in last) or "table"
+
+
+def _check_targets(spark: SparkSession, dest: str, targets: list[str], overwrite: bool, create_dir: bool) -> None:
     if not create_dir and not _exists(spark, dest):
-        raise ValueError(f"Destination directory does not exist: {dest}")
-    if not overwrite:
-        for target in targets.values():
-            if _exists(spark, target):
-                raise ValueError(f"File exists (pass overwrite=True): {target}")
-    for name, target in targets.items():
-        df = tables[name] if max_rows is None else tables[name].limit(max_rows)
-        write_output(df, target, file_format)
-    return list(targets.values())
+        raise ValueError(f"{dest} does not exist, and create_dir is off")
+    there = [] if overwrite else [t for t in targets if _exists(spark, t)]
+    if there:
+        raise ValueError(f"Already there, and overwrite is off: {', '.join(there)}")
 
 
 def _positive(n: int) -> int:

@@ -60,9 +60,9 @@ def test_isolation_forest_drops_the_share_and_finds_the_planted_row(spark, pdf,
 def test_isolation_forest_checks(spark, pdf):
     df = frame(spark, pdf)
     for share in (0, 0.5, -1):
-        with pytest.raises(ValueError, match="contamination"):
+        with pytest.raises(ValueError, match="share to drop"):
             remove_outliers(df, "isolation_forest", "a", share)
-    with pytest.raises(ValueError, match="missing values"):
+    with pytest.raises(ValueError, match="no gaps"):
         remove_outliers(df, "isolation_forest", "b")
     with pytest.raises(ValueError, match="Unknown method"):
         remove_outliers(df, "lof", "a")
@@ -74,3 +74,13 @@ def test_report(spark, pdf):
     assert (row.rows_before, row.rows_after, row.rows_removed) == (300, 299, 1)
     assert row.percent_removed == pytest.approx(100 / 300)
     assert removal_report(df.filter("id < 0"), df.filter("id < 0")).first().percent_removed == 0
+
+
+def test_isolation_forest_does_not_depend_on_partitions(spark):
+    rows = [(i, float(i * i % 101), float(i % 37)) for i in range(3000)] + [(9000 + i, 50.0, 20.0) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    kept = [
+        sorted(r.id for r in remove_outliers(df.repartition(n), "isolation_forest", "a,b", 0.1).collect())
+        for n in (2, 7)
+    ]
+    assert kept[0] == kept[1] and len(kept[0]) < len(rows)

@@ -94,3 +94,21 @@ def test_union_widen(spark):
     out = union_widen([a, b, spark.createDataFrame([("z",)], "k string")])
     assert dict(out.dtypes) == {"k": "string", "v": "string", "i": "bigint"}
     assert sorted(map(tuple, out.collect())) == [("x", "1.5", 1), ("y", "text", 2), ("z", None, None)]
+
+
+def test_float_labels_follow_pythons_spelling(spark):
+    values = [1e7, 2.5, 0.0005, 123456789.0, -1e7, 1e15, 1e16, 1.5e16, 1e-4, 1.25e-5, 9.999e-4, 1e22, 123456.789, 0.0, -0.0]
+    values += [12345678.5, 3e-10, 1e100, 1.0, 100.0, 0.001]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["value"] for r in encoding_map(df, "v").collect()}
+    assert got == {str(v) for v in values}
+    codes = {r["value"]: r["label"] for r in encoding_map(df, "v").collect()}
+    assert [codes[t] for t in sorted(codes)] == list(range(len(codes)))
+
+
+def test_union_of_dates_timestamps_and_decimals(spark):
+    a = spark.sql("SELECT DATE '2024-01-02' AS at, CAST(1.5 AS DECIMAL(5,2)) AS price")
+    b = spark.sql("SELECT TIMESTAMP '2024-01-02 03:04:05' AS at, CAST(2.125 AS DECIMAL(10,3)) AS price")
+    out = union_widen([a, b])
+    assert dict(out.dtypes) == {"at": "timestamp", "price": "decimal(10,3)"}
+    assert sorted(str(r["price"]) for r in out.collect()) == ["1.500", "2.125"]

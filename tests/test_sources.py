@@ -5,6 +5,7 @@ import pytest
 
 from cohortflow.operators.relational import repeated_keys
 from cohortflow.plans.sql_step import sanitize_table_name, sql_transform
+from cohortflow.session import shared_folder
 from cohortflow.sources import catalog, io
 
 REQUESTS = [
@@ -84,7 +85,7 @@ def test_views(spark, views, people):
     assert io.granted_view(spark, views, "people").columns == ["id"]
     assert io.granted_view(spark, views, "people", 1).count() == 1
     assert list(io.granted_views(spark, views)) == ["people"]
-    with pytest.raises(catalog.AccessError, match="no accessible"):
+    with pytest.raises(catalog.AccessError, match="may be read"):
         io.granted_view(spark, views, "closed")
     with pytest.raises(catalog.AccessError, match="Unknown view"):
         io.granted_view(spark, views, "nope")
@@ -121,7 +122,7 @@ def test_governed_rows(spark):
 def test_granted_table(spark, people):
     assert io.granted_table(spark, "people").count() == 2
     assert io.granted_table(spark, "people", "1").count() == 1
-    assert [io.parse_row_limit(x) for x in (None, "", " ", 0, "0", 7)] == [None] * 5 + [7]
+    assert [io.row_cap(x) for x in (None, "", " ", 0, "0", 7)] == [None] * 5 + [7]
     for bad in (-1, "x", "1.5"):
         with pytest.raises(ValueError):
             io.granted_table(spark, "people", bad)
@@ -174,11 +175,11 @@ def test_export(people, tmp_path):
     assert io.export_tables(tables, dest) == [f"{dest}/person.parquet", f"{dest}/b_c.parquet"]
     assert os.path.exists(f"{dest}/person.parquet/_SUCCESS")
     assert io.export_tables(tables, dest, ["person"], "csv", max_rows=1) == [f"{dest}/person.csv"]
-    with pytest.raises(ValueError, match="File exists"):
+    with pytest.raises(ValueError, match="Already there"):
         io.export_tables(tables, dest, overwrite=False)
     with pytest.raises(ValueError, match="does not exist"):
         io.export_tables(tables, str(tmp_path / "none"), create_dir=False)
-    with pytest.raises(ValueError, match="collision"):
+    with pytest.raises(ValueError, match="share a file"):
         io.export_tables({"a b": people, "a_b": people}, dest)
     for bad in ({"file_format": "xml"}, {"max_rows": 0}, {"names": ["death"]}):
         with pytest.raises(ValueError):
@@ -238,3 +239,27 @@ def test_sql_transform(spark, people, tmp_path):
 def test_sql_transform_checks(spark, change, message):
     with pytest.raises(ValueError, match=message):
         sql_transform(**{"spark": spark, "sql": "SELECT 1", "inputs": {"a": None}, **change})
+
+
+def test_csv_round_trip_of_awkward_texts(spark, tmp_path):
+    texts = ['he said "yes, no" twice', "line one\nline two", "a\r\nb", "", None, " padded ", "tab\there", '"', ",", "\\", 'x\\"y']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    files = [{"path": str(tmp_path / f"a.{f}"), "format": f} for f in ("csv", "json", "parquet")]
+    io.write_outputs(df, files)
+    want = [tuple(r) for r in df.orderBy("id").collect()]
+    for f in files:
+        back = io.read_format(spark, f["path"], f["format"], "id int, body string")
+        assert [tuple(r) for r in back.orderBy("id").collect()] == want, f["format"]
+    assert [tuple(r) for r in io.read_table(spark, str(tmp_path / "a.csv")).orderBy("id").collect()] == want
+
+
+def test_a_shared_folder_must_be_named():
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Bare)
