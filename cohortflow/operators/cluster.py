@@ -55,6 +55,12 @@ def person_means(df: DataFrame) -> DataFrame:
     )
 
 
+def patient_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The features that clustering works on (``person_id``, ``z``, ...) and the measures behind ``z``."""
+    means = stage(person_means(df), "person-means")
+    return _features(means), sorted(r[0] for r in means.select("measure").distinct().collect())
+
+
 def instrument_scores(df: DataFrame) -> DataFrame:
     """Per person: ham_d_total and psqi_total (sums of means), cdr_score (mean of means)."""
     require_columns(df, ["person_id", "measurement_source_value", "value_as_number"])

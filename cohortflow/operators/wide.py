@@ -1,7 +1,7 @@
 """Clinical long-to-wide export: one row per subject visit and dataset, one column per field.
 
-Tables (OMOP CDM v5.4 names): person, cmp_participants, visit_occurrence, measurement, observation,
-local_concept, cohort_mappings. All cohorts go through one plan; ``cohort_id`` stays in every key.
+Tables: person, visit_occurrence, measurement and observation in the OMOP CDM v5.4 layout, and the
+warehouse's own cmp_participants, local_concept and cohort_mappings. All cohorts go through one plan; ``cohort_id`` stays in every key.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import age_in_years, numeric_text, quoted
-from cohortflow.operators.relational import lead_then_sorted, one_value_per_key, pivot_values
+from cohortflow.operators.relational import one_value_per_key
 from cohortflow.operators.skew import broadcast_if_small
 from cohortflow.session import stage
 from cohortflow.sources.catalog import active_cohorts, cohort_join, resolve_cohorts
@@ -48,7 +48,11 @@ def concept_map(local_concept: DataFrame, source_field: str = "source_field_name
 
 
 def person_base(
-    person: DataFrame, participants: DataFrame, male: int = GENDER_MALE, female: int = GENDER_FEMALE
+    person: DataFrame,
+    participants: DataFrame,
+    male: int = GENDER_MALE,
+    female: int = GENDER_FEMALE,
+    keep_year: bool = False,
 ) -> DataFrame:
     """Identity of each person who is a participant; an impossible birth date becomes NULL."""
     born = F.concat_ws(
@@ -64,6 +68,7 @@ def person_base(
         F.col("person_source_value").alias("Barcode"),
         F.when(gender == male, "Male").when(gender == female, "Female").otherwise("Unknown").alias("Gender"),
         F.when(F.col("year_of_birth").isNotNull(), F.try_to_date(born, "y-M-d")).alias("_born"),
+        *([F.col("year_of_birth").alias("_year")] if keep_year else []),
     )
     listed = participants.select("cohort_id", F.col("barcode").alias("Barcode"), F.col("subject_id").alias("Subject_ID"))
     return cohort_join(people, listed, "Barcode")
@@ -86,9 +91,8 @@ def long_rows(
     def of_cohorts(name: str) -> DataFrame:
         return tables[name].filter(F.col("cohort_id").isin(cohort_ids))
 
-    concepts = broadcast_if_small(
-        concept_map(tables["local_concept"].filter(F.col("cohort").isin(cohort_ids)), source_field)
-    )
+    listed = tables["local_concept"].filter(F.col("cohort").isin(cohort_ids))
+    concepts = broadcast_if_small(stage(concept_map(listed, source_field), "concepts"))  # counted, used three times
 
     def granted(name: str, concept: str, value: Column, source: int) -> DataFrame:
         rows = of_cohorts(name).filter(F.col("visit_occurrence_id").isNotNull())
@@ -151,17 +155,33 @@ def wide_tables(tables: Mapping[str, DataFrame], granted: list[int], org_name: s
     """
     long, fields, index = _staged_long(tables, granted, org_name, **options)
     sheets = {}
-    for name in sorted({f.dataset for f in fields}):
-        own = [f for f in fields if f.dataset == name]
-        sheet = pivot_values(
-            long.filter(F.col("dataset") == name), index, "field_name", "field_value", [f.name for f in own]
-        )
-        typed = {f.name: F.col(quoted(f.name)).cast("double") for f in own if f.numeric}
-        ordered = lead_then_sorted(sheet.withColumns(typed) if typed else sheet, index)
-        sheets[name] = ordered.orderBy("Barcode", "Visit")
+    for dataset in sorted({f.dataset for f in fields}):
+        own = {f.name: f.numeric for f in fields if f.dataset == dataset}
+        sheet, cells = _spread(long.filter(F.col("dataset") == dataset), index, sorted(own))
+        typed = [cells[name].cast("double") if own[name] else cells[name] for name in sorted(own)]
+        sheets[dataset] = _named(sheet, index, typed, sorted(own), ["Barcode", "Visit"])
     return sheets
 
 
+def _spread(long: DataFrame, index: list[str], names: list[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """One row per ``index`` with its fields in a map, and the map's cell for each field.
+
+    Work and memory follow the rows that are there, not rows times fields. Field names are map keys, so
+    names that differ in case only, or from an identity column in case only, stay apart.
+    """
+    if clash := sorted(set(names) & set(index)):
+        raise ValueError(f"Fields are named like identity columns: {', '.join(clash)}")
+    held = F.map_from_entries(F.collect_list(F.struct("field_name", "field_value")))
+    grouped = long.groupBy(*[F.col(quoted(c)) for c in index]).agg(held.alias("_held"))
+    return grouped, {name: F.try_element_at("_held", F.lit(name)) for name in names}
+
+
+def _named(sheet: DataFrame, index: list[str], cells: list[Column], names: list[str], order: list[str]) -> DataFrame:
+    """Index and cells, sorted; the columns get their names by position at the very end."""
+    plain = sheet.select(*[quoted(c) for c in index], *[c.alias(f"_f{i}") for i, c in enumerate(cells)])
+    return plain.orderBy(*order).toDF(*index, *names)
+
+
 def wide_stacked(tables: Mapping[str, DataFrame], granted: list[int], org_name: str, **options) -> DataFrame:
     """All datasets in one sheet: dataset, identity, then the union of all fields by name.
 
@@ -172,19 +192,30 @@ def wide_stacked(tables: Mapping[str, DataFrame], granted: list[int], org_name:
     kinds: dict[str, set[bool]] = {}
     for f in fields:
         kinds.setdefault(f.name, set()).add(f.numeric)
-    sheet = pivot_values(long, ["dataset", *index], "field_name", "field_value", sorted(kinds))
-    typed = {}
-    for name, numeric in kinds.items():
-        col = F.col(quoted(name))
+    names = sorted(kinds)
+    sheet, cells = _spread(long, ["dataset", *index], names)
+    typed = []
+    for name in names:
+        cell, numeric = cells[name], kinds[name]
         if numeric == {True}:
-            typed[name] = col.cast("double")
+            cell = cell.cast("double")
         elif True in numeric:
             spelled = [f.dataset for f in fields if f.name == name and f.numeric]
-            number = col.try_cast("double").cast("string")
-            typed[name] = F.when(F.col("dataset").isin(spelled), number).otherwise(col)
-    stacked = lead_then_sorted(sheet.withColumns(typed) if typed else sheet, ["dataset", *index])
-    order = [c for c in ("dataset", "Cohort", "Barcode", "Visit") if c in stacked.columns]
-    return stacked.orderBy(*order)
+            cell = F.when(F.col("dataset").isin(spelled), cell.try_cast("double").cast("string")).otherwise(cell)
+        typed.append(cell)
+    order = ["dataset", *[c for c in ("Cohort", "Barcode", "Visit") if c in index]]
+    return _named(sheet, ["dataset", *index], typed, names, order)
+
+
+def export_notes(tables: Mapping[str, DataFrame], granted: list[int], org_name: str, cohort: int | str | None = None) -> DataFrame:
+    """One row on what an export leaves out: ``skipped_cohorts`` (granted, but not active) and
+    ``impossible_births``, the persons of its cohorts whose birth date does not exist (no age)."""
+    chosen = resolve_cohorts(active_cohorts(tables["cohort_mappings"], org_name), granted, cohort)
+    people = tables["person"].filter(F.col("cohort_id").isin(list(chosen.ids)))
+    based = person_base(people, tables["cmp_participants"].filter(F.col("cohort_id").isin(list(chosen.ids))), keep_year=True)
+    impossible = F.count(F.when(F.col("_year").isNotNull() & F.col("_born").isNull(), 1))
+    skipped = F.array(*[F.lit(int(c)) for c in sorted(chosen.skipped)]).cast("array<int>")
+    return based.agg(skipped.alias("skipped_cohorts"), impossible.alias("impossible_births"))
 
 
 def numeric_fields(long: DataFrame, keys: list[str], value: str = "field_value") -> DataFrame:

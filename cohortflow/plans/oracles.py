@@ -321,7 +321,7 @@ ORACLES: dict[str, str] = {
     "scale_minmax": _scaled("min({})", "max({0}) - min({0})"),
     "label_encode_customers": _encoded("segment", "c_name", "c_nationkey"),
     "encoding_map_customers": " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", t AS value, label FROM {_codes(c)}" for c in ("segment", "c_nationkey")
+        f"SELECT '{c}' AS \"column\", t AS value, label FROM {_codes(c)}" for c in ("segment", "c_nationkey", "c_name")
     ),
     "outlier_iqr": _inside(
         "quantile_cont({c}, 0.25) AS {c}_1, quantile_cont({c}, 0.75) AS {c}_3",
@@ -393,7 +393,23 @@ ORACLES: dict[str, str] = {
     "parameter_query": """SELECT o_custkey, count(*) AS n, max(o_totalprice) AS top FROM orders
         WHERE o_orderstatus = 'O' AND o_totalprice >= 50000 GROUP BY o_custkey""",
     "write_read_formats": "SELECT * FROM part",
-    "export_read": "SELECT * FROM customer",
+    "export_read": "SELECT c_name AS name, c_acctbal AS acctbal FROM customer UNION ALL SELECT s_name, s_acctbal FROM supplier",
+    "csv_roundtrip": "SELECT * FROM documents",
+    "csv_conversations": "SELECT * FROM conversations",
+    "label_encode_prices": """
+        SELECT o_orderkey, dense_rank() OVER (ORDER BY CAST(o_totalprice AS VARCHAR)) - 1 AS o_totalprice_encoded FROM orders""",
+    "outlier_forest_facts": "SELECT 0 AS planted_left, true AS most_stay",
+    "cluster_features": f"""
+        WITH m AS (SELECT person_id, name, avg(v) AS v FROM {MEASUREMENTS} WHERE v IS NOT NULL GROUP BY ALL),
+        p AS (SELECT DISTINCT person_id FROM m), f AS (SELECT name, avg(v) AS a, count(*) AS n, var_pop(v) AS s FROM m GROUP BY name)
+        SELECT p.person_id, f.name AS measure,
+               {_rounded("coalesce((m.v - a) / coalesce(nullif(sqrt(s * n / (SELECT count(*) FROM p)), 0), 1), 0)", 5)} AS z
+        FROM p CROSS JOIN f LEFT JOIN m ON m.person_id = p.person_id AND m.name = f.name""",
+    "cluster_scores": f"""
+        SELECT person_id, {_rounded("coalesce(sum(v) FILTER (WHERE contains(name, 'ham_d')), 0)", 2)} AS ham_d_total,
+               {_rounded("coalesce(sum(v) FILTER (WHERE contains(name, 'psqi') AND NOT contains(name, 'cumulative')), 0)", 2)} AS psqi_total,
+               {_rounded("avg(v) FILTER (WHERE contains(name, 'cdr'))", 2)} AS cdr_score, CAST(sum(n) AS BIGINT) AS num_measurements
+        FROM (SELECT person_id, name, avg(v) AS v, count(*) AS n FROM {MEASUREMENTS} GROUP BY ALL) GROUP BY person_id""",
     "range_deviation_scores": f"""
         SELECT person_id, {_rounded('sum(above) * 100', 2)} AS abnormality_score, {_rounded('sum(below) * 100', 2)} AS deficiency_score,
                count(*) FILTER (WHERE above > 0 OR below > 0) AS out_of_range_count

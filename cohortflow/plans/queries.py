@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import round_even
 from cohortflow.operators.carry import asof_join
-from cohortflow.operators.cluster import cluster_patients, instrument_scores, range_scores
+from cohortflow.operators.cluster import cluster_patients, instrument_scores, patient_features, range_scores
 from cohortflow.operators.corr import correlation_report, top_correlations
 from cohortflow.operators.locf import LocfResult, locf_fill
 from cohortflow.operators.outlier import removal_report, remove_outliers
@@ -190,7 +190,13 @@ def label_encode_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoding_map_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoding_map(_encodable(spark, sf_dir), "segment, c_nationkey")
+    return encoding_map(_encodable(spark, sf_dir), "segment, c_nationkey, c_name")
+
+
+def label_encode_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of doubles follow their decimal text."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return label_encode(orders, "o_totalprice", keep_original=False)
 
 
 def outlier_iqr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,6 +218,18 @@ def outlier_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_outliers(lines, "isolation_forest", MEASURES)
 
 
+def outlier_forest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after, and how many of the rows planted far outside are left."""
+    lines = _line_measures(spark, sf_dir)
+    far = [F.when(F.col("l_orderkey") % 997 == 0, F.col(c) * 1000 + 1e6).otherwise(F.col(c).cast("double")).alias(c) for c in MEASURES]
+    planted = lines.select("l_orderkey", *far)
+    kept = remove_outliers(planted, "isolation_forest", MEASURES, 0.1)
+    return kept.agg(
+        F.count(F.when(F.col("l_orderkey") % 997 == 0, 1)).alias("planted_left"),
+        (F.count(F.lit(1)) >= 0.85 * F.lit(planted.count())).alias("most_stay"),
+    )
+
+
 def corr_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correlation_report(load(spark, sf_dir, "lineitem"))
 
@@ -534,12 +552,25 @@ def write_read_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_format(spark, f"{path}/json", "json", part.schema).select(*part.columns)
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, with quotes, commas and line breaks, written as CSV and read back."""
+    docs, path = load(spark, sf_dir, "documents"), _scratch(spark)
+    io.write_outputs(docs, [{"path": f"{path}/csv", "format": "csv"}, {"path": f"{path}/json", "format": "json"}])
+    return io.read_format(spark, f"{path}/csv", "csv", docs.schema)
+
+
+def csv_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, path = load(spark, sf_dir, "conversations"), _scratch(spark)
+    io.write_output(turns, f"{path}/turns.csv", "csv")
+    return io.read_format(spark, f"{path}/turns.csv", "csv", turns.schema)
+
+
 def export_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export two tables and read one of them back."""
+    """Export two tables as CSV and read both back."""
     tables = {n: load(spark, sf_dir, n) for n in ("customer", "supplier")}
-    path = _scratch(spark)
-    written = io.export_tables(tables, path, ["customer"], "parquet")
-    return io.read_table(spark, written[0])
+    written = io.export_tables(tables, _scratch(spark), file_format="csv")
+    customer, supplier = (io.read_table(spark, path) for path in written)
+    return customer.select("c_name", "c_acctbal").union(supplier.select("s_name", "s_acctbal")).toDF("name", "acctbal")
 
 
 # Clustering: users are persons, events are their measurements.
@@ -575,7 +606,21 @@ def cluster_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster_patients(measurements(spark, sf_dir), 3, "kmeans", "range", restarts=2).sizes
+    return cluster_patients(measurements(spark, sf_dir), 3, "kmeans", "range").sizes
+
+
+def cluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean-imputed, standardised features of every person, one row per person and measure."""
+    features, measures = patient_features(measurements(spark, sf_dir))
+    rows = features.select("person_id", F.posexplode("z").alias("i", "z"))
+    name = F.element_at(F.array(*[F.lit(m) for m in measures]), F.col("i") + 1)
+    return rows.select("person_id", name.alias("measure"), round_even(F.col("z"), 5).alias("z"))
+
+
+def cluster_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a clustering says of each person beside the cluster itself."""
+    patients = cluster_patients(measurements(spark, sf_dir), 3, "kmeans", "instrument").patients
+    return patients.select("person_id", "ham_d_total", "psqi_total", "cdr_score", "num_measurements")
 
 
 def cluster_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -632,11 +677,13 @@ QUERIES: dict[str, Query] = {
         scale_standard,
         scale_minmax,
         label_encode_customers,
+        label_encode_prices,
         encoding_map_customers,
         outlier_iqr,
         outlier_zscore,
         outlier_report,
         outlier_isolation_forest,
+        outlier_forest_facts,
         corr_pearson,
         corr_top,
         corr_spearman,
@@ -660,11 +707,15 @@ QUERIES: dict[str, Query] = {
         granted_table_rows,
         parameter_query,
         write_read_formats,
+        csv_roundtrip,
+        csv_conversations,
         export_read,
         range_deviation_scores,
         instrument_totals,
         cluster_kmeans,
         cluster_sizes,
+        cluster_features,
+        cluster_scores,
         cluster_severity,
         cluster_ward,
         cluster_spectral,

@@ -136,7 +136,7 @@ TEXTS: dict[str, tuple[list[str], str, str | None]] = {
         """,
     ),
     "sql_functions": (
-        ["events", "documents"],
+        ["events"],
         """
         SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k, upper(event_type) AS kind,
                substring(event_type, 2, 3) AS part, date_format(ts, 'yyyy-MM-dd HH') AS hour_text,

@@ -52,7 +52,7 @@ def compare(spark, con, sf_dir, name, query, sql):
 def main(sf_dir="/root/testdata/sf0.01", *only):
     import __spark_entry__ as entry
 
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("check", os.environ.get("TEST_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from cohortflow.functions.exprs import age_in_years
-from cohortflow.operators.wide import coerce_numeric, concept_map, person_base, wide_stacked, wide_tables
+from cohortflow.operators.wide import coerce_numeric, concept_map, export_notes, person_base, wide_stacked, wide_tables
 from pyspark.sql import functions as F
 
 ORG = "Study House"
@@ -186,3 +186,34 @@ def test_one_visit_with_most_rows(spark, tables):
     )
     out = wide_tables({**tables, "measurement": tables["measurement"].unionByName(many)}, [101], ORG, cohort=101)
     assert [r["score"] for r in rows(out["Clinical"])] == [1.5, None]
+
+
+def test_fields_that_differ_in_case_only(spark, tables):
+    concepts = tables["local_concept"].unionByName(
+        spark.createDataFrame(
+            [(101, 600, "gender", "", "Clinical"), (101, 601, "GENDER", "", "Clinical"), (101, 602, "SCORE", "", "Clinical")],
+            tables["local_concept"].schema,
+        )
+    )
+    more = spark.createDataFrame(
+        [(101, 1, 10, 600, "f"), (101, 1, 10, 601, "F"), (101, 1, 10, 602, "9")], tables["observation"].schema
+    )
+    given = {**tables, "local_concept": concepts, "observation": tables["observation"].unionByName(more)}
+    clinical = wide_tables(given, [101], ORG, cohort=101)["Clinical"]
+    assert clinical.columns[-5:] == ["GENDER", "SCORE", "gender", "score", "smoker"]
+    row = next(tuple(r)[-5:] for r in clinical.collect() if r["Barcode"] == "A")
+    assert row == ("F", 9.0, "f", 1.5, "yes")
+    clash = spark.createDataFrame([(101, 500, "Visit", "", "Clinical")], tables["local_concept"].schema)
+    with pytest.raises(ValueError, match="Visit"):
+        wide_tables({**tables, "local_concept": clash}, [101], ORG, cohort=101)
+
+
+def test_notes_on_what_is_left_out(spark, tables):
+    person = tables["person"]
+    odd = person.limit(1).withColumn("month_of_birth", F.lit(2)).withColumn("day_of_birth", F.lit(31))
+    rest = person.join(odd.select("cohort_id", "person_id"), ["cohort_id", "person_id"], "left_anti")
+    given = {**tables, "person": rest.unionByName(odd.select(*[F.col(f.name).cast(f.dataType) for f in person.schema]))}
+    before = export_notes(tables, [101, 102, 103], ORG).first()
+    after = export_notes(given, [101, 102, 103], ORG).first()
+    assert before["skipped_cohorts"] == [103]
+    assert after["impossible_births"] == before["impossible_births"] + 1
