@@ -4,15 +4,16 @@
    many documents the n-grams of each of ``CELLS`` hash cells occur.
 2. A second pass orders every set by rarity (cell count, then hash) and keeps its prefix: two sets that
    are similar enough share a gram of their prefixes. Equal sets are one node from here on.
-3. Prefix grams are joined. Within the documents that share a gram each is first paired with one of
-   them, so a group of near copies costs as many pairs as it has members, not their square. Pairs that
-   survive the filters are verified once on the whole sets, and links become components.
-4. Where documents that share a gram still lie in different components, all pairs across components are
-   tried. Nothing is capped: a link that is left out lies within a component that is known already.
-
-The filters: sizes must be close enough (length); what the prefixes share, plus what lies behind the one
-that ends first, bounds the overlap (positional); and so does what the two sets have in each of
-``PARTS`` hash parts (suffix).
+3. Prefix grams are joined. Within the documents that share a gram each is first paired with the one
+   that shares most of its prefix, so a group of near copies costs as many pairs as it has members, not
+   their square. Pairs that survive the filters are verified once on the whole sets, and links become
+   components.
+4. Where documents that share a gram still lie in different components, pairs across components are
+   tried as well. Nothing is capped: a link that is left out lies within a component that is known.
+
+The filters: sizes must be close enough (length); what the prefixes share, or can share with anyone, plus
+what lies behind the one that ends first, bounds the overlap (positional); and so does what the two sets
+have in each of ``PARTS`` hash parts (suffix).
 """
 
 from __future__ import annotations
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import connected, pick, read, small
-from cohortflow.llm.quality import _blocks
+from cohortflow.llm.quality import blocks
 from cohortflow.session import stage
 
 #: Cells of the document frequency sketch. Rarity orders the grams; any order gives the same links.
 CELLS = 1 << 18
 PARTS = 64
-_WORDS = 1_000_000
+_WORDS = 300_000
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -95,15 +96,15 @@ def profile(docs: DataFrame, words: int) -> DataFrame:
         shingler, cells = Shingler(words), np.zeros(CELLS, np.int64)
         id_type = None
         for batch in batches:
-            texts, id_type = batch.column("text").to_pylist(), batch.column("doc_id").type
-            for block in _blocks(texts):
-                sets = [shingler.set_of(t) for t in texts[block]]
+            id_type = batch.column("doc_id").type
+            for block in blocks(batch, "text"):
+                sets = [shingler.set_of(t) for t in block.column("text").to_pylist()]
                 cells += np.bincount(np.concatenate(sets).astype(np.int64) & (CELLS - 1), minlength=CELLS)
                 m = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(block.start, m),
-                        batch.column("key").slice(block.start, m),
+                        block.column("doc_id"),
+                        block.column("key"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.nulls(m, pa.int32()),
@@ -153,11 +154,10 @@ def nodes(docs: DataFrame, profiled: DataFrame, words: int, percent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for block in _blocks(texts):
+            for block in blocks(batch, "text"):
                 rows, digests, sizes, prefixes, parts = [], [], [], [], []
-                for row in range(block.start, block.stop):
-                    grams = shingler.set_of(texts[row])
+                for row, text in enumerate(block.column("text").to_pylist()):
+                    grams = shingler.set_of(text)
                     if not len(grams):
                         continue
                     # Cell level in the top 8 bits, hash below: signed, so shifted into the positive half.
@@ -173,7 +173,7 @@ def nodes(docs: DataFrame, profiled: DataFrame, words: int, percent: int) -> Dat
                 flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(pa.array(rows, pa.int64())),
+                        block.column("doc_id").take(pa.array(rows, pa.int64())),
                         pa.array(digests, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
@@ -228,9 +228,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for block in _blocks(texts):
-                sets = [shingler.set_of(t) for t in texts[block]]
+            for block in blocks(batch, "text"):
+                sets = [shingler.set_of(t) for t in block.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["digest", "grams"],
@@ -262,29 +261,54 @@ def verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, words: int, pe
     return stage(_joined(tried, sets, "grams").mapInArrow(run, "a long, b long"), "jaccard-links")
 
 
-def _close(a: str, b: str, percent: int) -> str:
-    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
+def _may_link(x: str, y: str, percent: int) -> str:
+    """SQL test of two postings of one gram, by sizes, places and what their prefixes can share at most.
+
+    The sizes say how many grams a linked pair shares (``need``), and so how long the prefixes of this
+    pair are: a linked pair has a common gram within both. Of the set whose whole prefix ends first, every
+    prefix gram that the other set holds is in the other's prefix too. So the overlap is at most the
+    prefix grams that it shares with anyone (``sh``), plus what lies behind its prefix.
+    """
+    need = f"({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent}"
+    bound = f"CASE WHEN {x}.w <= {y}.w THEN {x}.sh + {x}.n - {x}.p ELSE {y}.sh + {y}.n - {y}.p END"
+    tests = [
+        f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)",
+        f"{x}.i <= {x}.n - {need} AND {y}.i <= {y}.n - {need}",
+        f"{bound} >= {need}",
+    ]
+    return " AND ".join(tests)
 
 
 def components(docs: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, component`` of every node that has a link."""
-    postings = found.select("node", "n", F.explode("prefix").alias("gram"))
-    first = F.min(F.struct("node", "n")).alias("lead")
-    leads = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("held"), first).where("held > 1")
-    leads = stage(leads, "jaccard-leads")
-    shared = stage(postings.join(leads, "gram").select("gram", "node", "n", "held", "lead"), "jaccard-shared")
-    stars = shared.where("node <> lead.node").where(_close("n", "lead.n", percent))
-    stars = stars.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(stars, docs, found, words, percent)
+    postings = found.select("node", F.posexplode("prefix").alias("i", "gram"))
+    held = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = stage(postings.join(stage(held, "jaccard-held"), "gram"), "jaccard-shared")
+    points = shared.groupBy("node").agg(F.count(F.lit(1)).alias("sh"))
+    points = points.join(found.select("node", "n", "prefix"), "node").select(
+        "node", F.struct("n", "sh", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("w")).alias("x")
+    )
+    shared = shared.join(stage(points, "jaccard-points"), "node").withColumn("x", F.col("x").withField("i", F.col("i")))
+    shared = stage(shared.drop("i"), "jaccard-postings")
+    # The lead of a gram shares most of its prefix: in a group of near copies, what they are copies of.
+    first = F.max(F.struct("x.sh", (-F.col("node")).alias("order"), "x")).alias("lead")
+    leads = stage(shared.groupBy("gram").agg(first).select("gram", (-F.col("lead.order")).alias("a"), F.col("lead.x").alias("y")), "jaccard-leads")
+    stars = shared.join(leads, "gram").where("node <> a").where(_may_link("x", "y", percent))
+    links = verified(stars.select("a", F.col("node").alias("b")).distinct(), docs, found, words, percent)
     known = stage(connected(links, "jaccard-rounds"), "jaccard-known")
     # Grams whose documents are not all in one component yet; of two documents the star was all.
     open_ = shared.where("held > 2").join(known, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    open_ = stage(open_.select("gram", "node", "n", "c", F.col("lead.node").alias("lead")), "jaccard-open")
+    open_ = stage(open_.select("gram", "node", "x", "c"), "jaccard-open")
     mixed = open_.groupBy("gram").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    open_ = stage(open_.join(mixed.select("gram"), "gram"), "jaccard-mixed").where("node <> lead").drop("lead")
-    x, y = (open_.select("gram", *[F.col(c).alias(f"{c}_{e}") for c in ("node", "n", "c")]) for e in "xy")
-    across = x.join(y, "gram").where("node_x < node_y AND c_x <> c_y").where(_close("n_x", "n_y", percent))
-    across = across.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    main = leads.join(mixed, "gram").join(known.withColumnRenamed("node", "a"), "a", "left")
+    main = main.select("gram", "a", F.coalesce("component", "a").alias("main"))
+    open_ = stage(open_.join(main, "gram"), "jaccard-mixed").where("node <> a")
+    # Documents outside the lead's component meet all others of the gram; those inside need not meet.
+    strays = open_.where("c <> main").select("gram", F.col("node").alias("node_x"), "x", F.col("c").alias("c_x"))
+    others = open_.select("gram", F.col("node").alias("node_y"), F.col("x").alias("y"), F.col("c").alias("c_y"), "main")
+    across = strays.join(others, "gram").where("c_x <> c_y AND (c_y = main OR node_x < node_y)")
+    across = across.where(_may_link("x", "y", percent))
+    across = across.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
     more = verified(across, docs, found, words, percent)
     if more.isEmpty():
         return known

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import pick, read, small
-from cohortflow.llm.quality import _blocks
+from cohortflow.llm.quality import blocks
 from cohortflow.session import stage
 
 CAPACITY = 1024
@@ -86,11 +86,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) ->
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for block in _blocks(texts):
+            for block in blocks(batch, "text"):
                 out: list[tuple] = []
-                for row in range(block.start, block.stop):
-                    ids = token_ids(texts[row])
+                for row, text in enumerate(block.column("text").to_pylist()):
+                    ids = token_ids(text)
                     first = len(ids) - (-(-len(ids) // capacity) - 1) * capacity
                     for piece, end in enumerate(range(first, len(ids) + 1, capacity)):
                         start = max(0, end - capacity)
@@ -99,7 +98,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) ->
                         out.append((row, piece, start, n, zlib.crc32(raw.tobytes()), part, seen[n], raw))
                         seen[n] += 1
                 rows, *values, raws = zip(*out, strict=True)
-                arrays = [batch.column("doc_id").take(pa.array(rows, pa.int64()))]
+                arrays = [block.column("doc_id").take(pa.array(rows, pa.int64()))]
                 types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 arrays += [pa.array(v, t) for v, t in zip(values, types, strict=True)]
                 if with_ids:

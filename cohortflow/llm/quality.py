@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ from cohortflow.llm.common import pick, read, uniform
 
 #: Labelled documents that a classifier is fitted on, at most (in expectation: a hash threshold chooses them).
 TRAIN_DOCS = 20_000
-#: Texts that are held in Python at a time, at most.
-BLOCK_CHARS = 8_000_000
+#: Bytes of text that become Python objects at a time, at most (or one text).
+BLOCK_BYTES = 4_000_000
 
 STATISTICS = (
     "bytes", "words", "lines", "word_length", "longest_word", "letters", "capitals", "digits", "blanks", "marks",
@@ -90,15 +91,15 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def _blocks(texts: Sequence[str | None]) -> Iterator[slice]:
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= BLOCK_CHARS:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def blocks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have ``BLOCK_BYTES`` at most (or are a single row)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def matrix(texts: Sequence[str | None]) -> np.ndarray:
@@ -129,8 +130,7 @@ def rows_of(df: DataFrame, text: str, make: Callable[[Sequence], np.ndarray], co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in _blocks(batch.column(text).to_pylist()):
-                part = batch.slice(block.start, block.stop - block.start)
+            for part in blocks(batch, text):
                 values = make(part.column(text).to_pylist())
                 arrays = [part.column(c) for c in kept] + [pa.array(values[:, j]) for j in range(len(columns))]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + list(columns))
@@ -170,8 +170,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFra
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in _blocks(batch.column(text).to_pylist()):
-                part = batch.slice(block.start, block.stop - block.start)
+            for part in blocks(batch, text):
                 scores = forest.probability(matrix(part.column(text).to_pylist()))
                 yield part.filter(pa.array(scores >= least))
 

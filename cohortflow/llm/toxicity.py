@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import trees
 from cohortflow.llm.common import pick, read, uniform
-from cohortflow.llm.quality import TRAIN_DOCS, _blocks, labelled, remainder, rows_of
+from cohortflow.llm.quality import TRAIN_DOCS, blocks, labelled, remainder, rows_of
 
 #: Symbols of the character model: a word's edge, a to z, and any other letter.
 EDGE, OTHER, SYMBOLS = 0, 27, 28
@@ -42,7 +42,7 @@ _EDGES = "\"'`.,;:?)]}>%&^~_-=…"
 #: Lexicon entries, at most, and the documents that an entry must occur in, at least.
 LEXICON, SUPPORT = 20_000, 3
 STATISTICS = ("words", "strong", "weak", "strong_share", "weak_share", "total", "highest", "restored")
-_MEMO = 300_000
+_MEMO = 200_000
 
 
 def _symbols(text: str) -> np.ndarray:
@@ -62,8 +62,8 @@ def count_characters(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                s = _symbols(f"  {(text or '').lower()}  ")
+            for text in batch.column(0):  # one text at a time
+                s = _symbols(f"  {(text.as_py() or '').lower()}  ")
                 a, b, c = s[:-2], s[1:-1], s[2:]
                 whole = (a >= 0) & (b >= 0) & (c >= 0) & ((b > 0) | (c > 0))
                 total += np.bincount((a * SYMBOLS + b)[whole] * SYMBOLS + c[whole], minlength=SYMBOLS**3)
@@ -239,8 +239,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = TRAIN_
             return memo[word]
 
         for batch in batches:
-            for block in _blocks(batch.column("text").to_pylist()):
-                part = batch.slice(block.start, block.stop - block.start).to_pydict()
+            for block in blocks(batch, "text"):
+                part = block.to_pydict()
                 seen: list[Counter] = [Counter() for _ in range(4)]
                 for half, label, text in zip(part["half"], part["label"], part["text"], strict=True):
                     words = set(restore(text, meant))
