@@ -25,7 +25,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PAIRS_PER_CHUNK = 9
 MAX_CHUNKS = 5
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKET_ROWS = 100_000
 
 
 def correlation_report(
@@ -114,14 +113,14 @@ def _cells(numbers: DataFrame, pairs, buckets: dict[str, Column] | None = None)
     return _pair_rows(numbers, pairs, buckets).groupBy(*keys).agg(counted)
 
 
-# Spearman: average ranks from value buckets. A bucket is either an open interval between two cut
-# values (odd id) or one cut value alone (even id). A frequent value is always a cut value, and its
-# rank needs only bucket sizes, so no task has to sort a hot value.
+# Spearman: average ranks from value buckets, as many as the rows ask for. A bucket is either an open
+# interval between two cut values (even id) or one cut value alone (odd id). A frequent value is always
+# a cut value, and its rank needs only bucket sizes, so no task has to sort a hot value.
 
 
 def _spearman(numbers: DataFrame, pairs, rows_per_bucket: int) -> DataFrame:
     total = numbers.count()
-    cuts = min(-(-total // rows_per_bucket), max(1, MAX_BUCKET_ROWS // (4 * len(pairs))))
+    cuts = max(1, -(-total // rows_per_bucket))
     bucketed, ids = _value_buckets(numbers, cuts)
     cells = _cells(bucketed, pairs, ids)
     sizes = {"x": None, "y": None}
@@ -149,26 +148,25 @@ def _spearman(numbers: DataFrame, pairs, rows_per_bucket: int) -> DataFrame:
 def _value_buckets(numbers: DataFrame, cuts: int) -> tuple[DataFrame, dict[str, Column]]:
     names = numbers.columns
     if cuts <= 1:
-        return numbers, {c: F.lit(1) for c in names}
+        return numbers, {c: F.lit(0) for c in names}
     probs = [k / cuts for k in range(1, cuts)]
     bounds = [sorted(set(b)) for b in numbers.approxQuantile(names, probs, 1 / (4 * cuts))]
-    ids = {c: F.lit(1) for c in names}
+    ids = {c: F.lit(0) for c in names}
     for name, values in zip(names, bounds):
-        if values:
+        if not values:
+            continue
+        # cut values up to the value, and cut values below it: the two differ for a cut value alone
+        above = [float(np.nextafter(v, np.inf)) for v in values]
+        for at, splits in ((f"_upto_{name}", values), (f"_below_{name}", above)):
             numbers = Bucketizer(
-                splits=[-float("inf"), *values, float("inf")],
-                inputCol=name,
-                outputCol=f"_at_{name}",
-                handleInvalid="keep",
+                splits=[-float("inf"), *sorted(set(splits)), float("inf")], inputCol=name, outputCol=at, handleInvalid="keep"
             ).transform(numbers)
-            at = F.col(f"_at_{name}").cast("int")
-            cut = F.get(F.array(*[F.lit(v) for v in values]), at - 1)
-            ids[name] = 2 * at + F.coalesce(F.col(name) > cut, F.lit(True)).cast("int")
+        ids[name] = (F.col(f"_upto_{name}") + F.col(f"_below_{name}")).cast("int")
     return numbers, ids
 
 
 def _bucket_sizes(cells: DataFrame, axis: str) -> DataFrame:
-    """Per pair and bucket: rows in it and rows in the buckets before; at most MAX_BUCKET_ROWS rows."""
+    """Per pair and bucket: rows in it and rows in the buckets before."""
     bucket = f"{axis}b"
     sizes = cells.groupBy("pair", bucket).agg(F.sum("n").alias("_size"))
     before = W.partitionBy("pair").orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
@@ -180,7 +178,7 @@ def _with_rank(cells: DataFrame, axis: str, other: str, sizes: DataFrame | None)
     if sizes is None:
         group = W.partitionBy("pair")
     else:
-        single = F.col(f"{axis}b") % 2 == 0
+        single = F.col(f"{axis}b") % 2 == 1
         # a hot value is a bucket of its own: its cells need no order, so they may be spread
         spread = F.when(single, F.pmod(F.xxhash64(other), F.lit(1024))).otherwise(0)
         cells = cells.withColumn("_spread", spread)
@@ -192,7 +190,7 @@ def _with_rank(cells: DataFrame, axis: str, other: str, sizes: DataFrame | None)
         return cells.withColumn(f"{axis}_rank", rank)
     return (
         cells.withColumn("_rank", rank)
-        .join(F.broadcast(sizes), ["pair", f"{axis}b"])
+        .join(broadcast_if_small(sizes), ["pair", f"{axis}b"])
         .withColumn(
             f"{axis}_rank",
             F.col("_before") + F.when(single, (F.col("_size") + 1) / 2).otherwise(F.col("_rank")),
