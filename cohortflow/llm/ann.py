@@ -33,6 +33,7 @@ NEIGHBOURS, REVERSE = 48, 48
 TABLES, BLOCK = 4, 800
 ROUNDS, FEW = 6, 0.1  #: rounds at most; fewer new edges than this share end them
 BEAM, EXPAND = 64, 16
+ENTRIES = 8
 BUCKET_NODES = 4_000  #: nodes whose neighbourhoods, or whose vectors, one task holds
 _SEED = 20240607
 
@@ -44,6 +45,7 @@ class Index:
     nodes: DataFrame
     edges: DataFrame
     count: int
+    entries: list[int]  #: a few nodes, the longest and some by hash, at which every query enters too
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -192,8 +194,11 @@ def build(rows: DataFrame, results: int = 20) -> Index:
     count = nodes.count()
     shorts = _shorts(nodes) if count else nodes.select("node", F.lit(b"").alias("short"))
     none = rows.sparkSession.createDataFrame([], "node long, near long, sim double, fresh boolean")
+    length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    found = [nodes.orderBy(by, "node").limit(ENTRIES).collect() for by in (F.desc(length), F.xxhash64("node"))]
+    entries = sorted({r["node"] for part in found for r in part})
     if count < 2:
-        return Index(nodes, none, count)
+        return Index(nodes, none, count, entries)
     edges = _keep_best(_first_graph(shorts).withColumn("fresh", F.lit(True)), NEIGHBOURS)
     edges = stage(edges, "ann-edges")
     buckets = max(8, count // BUCKET_NODES)
@@ -203,7 +208,7 @@ def build(rows: DataFrame, results: int = 20) -> Index:
         edges = stage(_keep_best(old.unionByName(found), NEIGHBOURS), "ann-edges")
         if edges.where("fresh").count() < FEW * count * NEIGHBOURS:
             break
-    return Index(nodes, edges, count)
+    return Index(nodes, edges, count, entries)
 
 
 def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
@@ -242,14 +247,15 @@ def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """``query, node, sim``: the ``beam`` best nodes found for ``queries (query, target, entry)``.
 
-    ``entry`` is the node at which a query enters the graph. Every query runs until all nodes of its
+    ``entry`` is a node at which a query enters the graph, beside the index's own few. Every query runs until all nodes of its
     beam are expanded; the beams of all queries move on together.
     """
     by_sim = W.partitionBy("query").orderBy(F.desc("sim"), "node")
     queries = stage(queries, "ann-queries")
     graph = index.edges.select("node", "near")
     low = F.lit(float("-inf"))
-    start = queries.select("query", F.col("entry").alias("node"))
+    fixed = F.array(*[F.lit(n).cast("long") for n in index.entries])
+    start = queries.select("query", F.explode(F.array_distinct(F.concat(F.array("entry"), fixed))).alias("node"))
     state = _scored(start, index, queries.select("query", "target", low.alias("worst")))
     state = stage(state.withColumn("done", F.lit(False)), "ann-beam")
     while True:

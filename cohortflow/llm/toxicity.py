@@ -65,6 +65,7 @@ def count_characters(docs: DataFrame) -> np.ndarray:
             for text in batch.column(0):  # one text at a time
                 s = _symbols(f"  {(text.as_py() or '').lower()}  ")
                 a, b, c = s[:-2], s[1:-1], s[2:]
+                a = np.where(b == EDGE, EDGE, a)  # what a word begins with does not depend on the word before
                 whole = (a >= 0) & (b >= 0) & (c >= 0) & ((b > 0) | (c > 0))
                 total += np.bincount((a * SYMBOLS + b)[whole] * SYMBOLS + c[whole], minlength=SYMBOLS**3)
         at = np.flatnonzero(total)
