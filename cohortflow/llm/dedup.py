@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import pick, read
+from cohortflow.llm.common import pick, read, small
 from cohortflow.session import stage
 
 #: Digests that the sketch reports and whose winners are broadcast, at most.
@@ -58,7 +58,8 @@ def settle(rows: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one row for each different text.
 
-    Null texts count as empty ones. Of rows that agree in id and text, any one stays.
+    Null texts count as empty ones. Of rows that agree in id and text, any one stays. Up to a counted
+    bound the rows that go are broadcast, and no text is shuffled; beyond it, texts are shuffled once.
     """
     settled = settle(digests(docs))
     lost = settled.where("NOT doc_id <=> winner.doc_id").select("doc_id", "digest").distinct()
@@ -71,8 +72,9 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     same = at["doc_id"].eqNullSafe(F.col("fate_id")) & (
         F.unhex(F.sha2(F.coalesce(at["text"], F.lit("")), 256)) == F.col("fate_digest")
     )
-    kept = rows.join(fate.where("NOT tied"), same, "left_anti")
-    if fate.where("tied").isEmpty():
+    counts = {r["tied"]: r["count"] for r in fate.groupBy("tied").count().collect()}
+    kept = rows.join(small(fate.where("NOT tied"), counts.get(False, 0)), same, "left_anti")
+    if not counts.get(True):
         return kept.toDF(*docs.columns)
     # Repeated rows are few, or at least far fewer than the documents: only they are grouped.
     tied = kept.join(fate.where("tied"), same, "left_semi").dropDuplicates(

@@ -33,6 +33,8 @@ from cohortflow.session import stage
 #: Cells of the document frequency sketch. Rarity orders the grams; any order gives the same links.
 CELLS = 1 << 18
 PARTS = 64
+#: Pairs of whole sets that Python holds at a time.
+PAIRS_A_BATCH = 500
 _WORDS = 300_000
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -249,8 +251,8 @@ def verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, words: int, pe
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("a_grams").to_pylist(), batch.column("b_grams").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("a_grams"), batch.column("b_grams"), strict=True):  # views, no copies
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
             keep = pa.array(keep, pa.bool_())
@@ -258,7 +260,14 @@ def verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, words: int, pe
                 [batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"]
             )
 
-    return stage(_joined(tried, sets, "grams").mapInArrow(run, "a long, b long"), "jaccard-links")
+    # Rows hold two whole sets each: smaller batches than usual, and only for this job.
+    conf, rows_a_batch = found.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = conf.get(rows_a_batch, "10000")
+    conf.set(rows_a_batch, str(PAIRS_A_BATCH))
+    try:
+        return stage(_joined(tried, sets, "grams").mapInArrow(run, "a long, b long"), "jaccard-links")
+    finally:
+        conf.set(rows_a_batch, usual)
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
