@@ -3,18 +3,20 @@
 Every document gets an exponential key ``-ln(u) / quality`` (``u`` uniform, from a hash of its id).
 Within its source the documents are ordered by key and their sizes summed up to the source's token
 budget: the part of its target that is left once whole epochs are taken. Documents up to the budget are
-taken once more. What the first document that does not fit leaves over is filled, in key order, by later
-ones of the same key cell that do; a source then misses its target by little more than a short document.
+taken once more. What the first document that does not fit leaves over is filled, in key order, by all later
+ones that still fit; a source then misses its target by less than the shortest document not taken.
 
 The text is read once for a narrow table, which is written to the shared folder. A source is never
 sorted as a whole: sums per ``(source, key cell)`` are enough to find the one cell in which the budget
-ends, and only that cell is ordered.
+ends, and only that cell is ordered. What it leaves over is less than one document holds, so of the
+rows behind it few can be taken: of each size the first ones by key, as many as fit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 #: Rows of the largest source that share a key cell: a 256th of them, within these bounds.
 CELL_ROWS = (64, 20_000)
-#: Passes over the edge cell.
+#: Passes over the edge cell; what they leave over goes through the cells behind it.
 ROUNDS = 3
 
 
@@ -70,10 +72,14 @@ def targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     return capped.select("source", "source_size", target.alias("target"))
 
 
-def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> tuple[DataFrame, int]:
+def plan(
+    rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, behind: bool = True
+) -> tuple[DataFrame, int, DataFrame, int]:
     """One row per source with its target, whole epochs, and the last key that is taken once more.
 
-    ``rows`` is a written table ``doc_id, source, size, key``. The second value is the row count.
+    ``rows`` is a written table ``doc_id, source, size, key``. The second value is the row count. The
+    third and fourth are the rows behind the last key that are taken too, and their count; without
+    ``behind`` there are none.
     """
     found = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     found = stage(found, "mix-sources")
@@ -84,7 +90,8 @@ def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MA
     epochs = F.floor(F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))).cast("long")
     budgets = budgets.withColumn("epochs", epochs)
     budgets = stage(budgets.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-budgets")
-    summed = rows.groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("held"))
+    least = F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")
+    summed = stage(rows.groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("held"), least), "mix-cells")
     ahead = F.sum("held").over(W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, 0))
     edge = (
         summed.withColumn("upto", ahead)
@@ -110,11 +117,61 @@ def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MA
     cuts = [F.struct(F.max(f"limit{r}").alias("limit"), F.max(f"cut{r}").alias("cut")) for r in range(ROUNDS)]
     cut = left.groupBy("source").agg(F.array(*cuts).alias("cuts")).withColumnRenamed("source", "c")
     full = (
-        budgets.join(edge.select("s", "edge"), F.col("source").eqNullSafe(F.col("s")), "left")
+        budgets.join(edge.select("s", "edge", "start"), F.col("source").eqNullSafe(F.col("s")), "left")
         .join(cut, F.col("source").eqNullSafe(F.col("c")), "left")
-        .select("source", "source_size", "target", "epochs", "edge", "cuts", F.lit(cells).alias("cells"))
+        .withColumn("left", F.col("budget") - F.col("start"))
+        .select("source", "source_size", "target", "epochs", "edge", "left", "cuts", F.lit(cells).alias("cells"))
     )
-    return stage(full, "mix-plan"), sources
+    full = stage(full, "mix-plan")
+    if not behind:
+        return full, sources, full, 0
+    picks = stage(_picks(rows, summed, full, sources), "mix-picks")
+    return full, sources, picks, picks.count()
+
+
+def _picks(rows: DataFrame, summed: DataFrame, full: DataFrame, sources: int) -> DataFrame:
+    """``source, id, size, key`` of rows that follow the passes over the edge cell and still fit, in key order.
+
+    What no longer fits never fits again, so the rows of one size that are taken are the first by key,
+    as many at most as the size fits into what is left. Rows without words bring nothing nearer.
+    """
+    each = small(full.select(F.struct("*").alias("p")), sources)
+    inside = rows.join(each, F.col("source").eqNullSafe(F.col("p.source")) & (_cell(F.col("p.cells")) == F.col("p.edge")))
+    spent = F.sum(F.when(_within("p"), F.col("size")).otherwise(0))
+    own = F.min(F.when(~_within("p") & (F.col("size") > 0), F.col("size")))
+    inside = inside.groupBy("source").agg((F.max("p.left") - spent).alias("left"), own.alias("own"))
+    behind = summed.join(each, F.col("source").eqNullSafe(F.col("p.source")) & (F.col("cell") > F.col("p.edge")))
+    behind = behind.groupBy("source").agg(F.min("least").alias("least")).withColumnRenamed("source", "b")
+    short = inside.join(behind, F.col("source").eqNullSafe(F.col("b")), "left").where(F.least("own", "least") <= F.col("left"))
+    short = short.select(F.col("source").alias("s"), F.col("left").alias("rest"))
+    short = stage(short.join(each, F.col("s").eqNullSafe(F.col("p.source"))), "mix-short")
+    free = rows.join(small(short, sources), F.col("source").eqNullSafe(F.col("s"))).withColumn("cell", _cell(F.col("p.cells")))
+    later = (F.col("cell") > F.col("p.edge")) | ((F.col("cell") == F.col("p.edge")) & ~_within("p"))
+    free = free.where((F.col("size") > 0) & (F.col("size") <= F.col("rest")) & later)
+    # Rows that repeat an id and a size are taken together.
+    free = free.groupBy("source", "cell", "key", F.col("doc_id").cast("string").alias("id"), "size").agg(
+        F.sum("size").alias("held"), F.max("rest").alias("rest")
+    )
+    free = stage(free.where("held <= rest").withColumn("most", F.floor(F.col("rest") / F.col("held"))), "mix-free")
+    counted = free.groupBy("source", "cell", "held").agg(F.count(F.lit(1)).alias("n"), F.max("most").alias("most"))
+    before = F.sum("n").over(W.partitionBy("source", "held").orderBy("cell").rowsBetween(W.unboundedPreceding, -1))
+    counted = counted.withColumn("before", F.coalesce(before, F.lit(0))).where("before < most")
+    counted = counted.select(F.col("source").alias("s"), F.col("cell").alias("c"), F.col("held").alias("h"), "before")
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")) & (F.col("held") == F.col("h"))
+    place = F.row_number().over(W.partitionBy("source", "cell", "held").orderBy("key", "id"))
+    first = free.join(counted, same).withColumn("place", F.col("before") + place).where("place <= most")
+
+    def fill(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["key", "id"], na_position="first")
+        left, taken = part["rest"].iloc[0], []
+        for held in part["held"]:
+            taken.append(held <= left)
+            left -= held if taken[-1] else 0
+        return part.loc[taken, ["source", "id", "size", "key"]]
+
+    first = first.select("source", "id", "size", "key", "held", "rest")
+    columns = f"source {rows.schema['source'].dataType.simpleString()}, id string, size long, key double"
+    return first.groupBy("source").applyInPandas(fill, columns)
 
 
 def _cell(cells: Column) -> Column:
@@ -122,28 +179,46 @@ def _cell(cells: Column) -> Column:
     return F.least(cells - 1, F.floor((1 - F.exp(-F.col("key"))) * cells)).cast("int")
 
 
-def _copies(of: str) -> Column:
-    """Copies of a row, from its ``size``, ``key`` and ``doc_id`` and the plan's columns under ``of``."""
-    cell, edge = _cell(F.col(f"{of}.cells")), F.col(f"{of}.edge")
+def _within(of: str) -> Column:
+    """Whether a row of the edge cell is taken by the passes over that cell."""
     within = F.exists(
         f"{of}.cuts", lambda c: (F.col("size") <= c["limit"]) & (F.struct("key", "doc_id") <= c["cut"])
     )
+    return F.coalesce(within, F.lit(False))
+
+
+def _copies(of: str) -> Column:
+    """Copies of a row, from its ``size``, ``key``, ``doc_id`` and ``picked`` and the plan's columns under ``of``."""
+    cell, edge = _cell(F.col(f"{of}.cells")), F.col(f"{of}.edge")
     # No edge: the target is met by whole epochs.
-    more = F.coalesce((cell < edge) | ((cell == edge) & within), F.lit(False))
-    return F.col(f"{of}.epochs") + more.cast("long")
+    more = F.coalesce((cell < edge) | ((cell == edge) & _within(of)), F.lit(False))
+    return F.col(f"{of}.epochs") + (more | F.col("picked")).cast("long")
+
 
+def _planned(rows: DataFrame, per_source: DataFrame, sources: int, picks: DataFrame, picked: int) -> DataFrame:
+    """``rows`` with the plan of their source as ``p``, and whether they are ``picked`` behind the edge cell."""
+    per_source = small(per_source.select(F.struct("*").alias("p")), sources)
+    joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("p.source")))
+    if not picked:
+        return joined.withColumn("picked", F.lit(False))
+    picks = small(picks.select(F.struct("*").alias("k")), picked)
+    same = F.col("doc_id").cast("string").eqNullSafe(F.col("k.id")) & F.col("source").eqNullSafe(F.col("k.source"))
+    same = same & (F.col("key") == F.col("k.key")) & (F.col("size") == F.col("k.size"))
+    return joined.join(picks, same, "left").withColumn("picked", F.col("k").isNotNull())
 
-def mixed_sizes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+
+def mixed_sizes(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, behind: bool = True
+) -> DataFrame:
     """Per row: ``doc_id, source, size, source_size, target, copies, taken``.
 
     Null texts, empty texts and texts of white space have size 0 and take nothing. A null source is a
     source of its own, the last one. Rows that repeat an id share a key, and at the edge of a budget
-    they are all taken or all left. Empty tables give an empty result.
+    they are all taken or all left. Empty tables give an empty result. Without ``behind`` the passes
+    over the edge cell are all, and what they leave over stays open.
     """
     rows = stage(keyed(docs), "mix-rows")
-    per_source, sources = plan(rows, weights, max_epochs)
-    per_source = small(per_source.select(F.struct("*").alias("p")), sources)
-    return rows.join(per_source, F.col("source").eqNullSafe(F.col("p.source"))).select(
+    return _planned(rows, *plan(rows, weights, max_epochs, behind)).select(
         "doc_id",
         "source",
         "size",
@@ -160,21 +235,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     Texts without words carry no tokens and cannot bring a source nearer to its target; they are
     taken in whole epochs and in key order like any other row.
     """
-    per_source, sources = plan(stage(keyed(docs), "mix-rows"), weights, max_epochs)
+    planned = plan(stage(keyed(docs), "mix-rows"), weights, max_epochs)
     inner = [f"c{i}" for i in range(len(docs.columns))]
     at = {name: F.col(f"d.{inner[docs.columns.index(name)]}") for name in ("doc_id", "source", "text")}
     rows = docs.toDF(*inner).select(F.struct(*inner).alias("d"))
     rows = rows.select("d", at["doc_id"].alias("doc_id"), at["source"].alias("source"), at["text"].alias("text"))
     rows = rows.select("d", "doc_id", "source", word_count(F.col("text")).alias("size"), _key("mix").alias("key"))
-    per_source = small(per_source.select(F.struct("*").alias("p")), sources)
-    joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("p.source")))
-    repeated = joined.select("d", F.explode(F.array_repeat(F.lit(0), _copies("p").cast("int"))).alias("copy"))
+    repeated = _planned(rows, *planned).select("d", F.explode(F.array_repeat(F.lit(0), _copies("p").cast("int"))).alias("copy"))
     return repeated.select("d.*").toDF(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the weights 5, 2, 1 of their sources."""
-    return mixed_sizes(read(spark, sf_dir, "documents")).select(
+    """All documents mixed to the weights 5, 2, 1 of their sources, by the rule of ``OP1_SQL``: the edge cell only."""
+    return mixed_sizes(read(spark, sf_dir, "documents"), behind=False).select(
         "doc_id", "size", "source_size", "target", "taken", "copies", "source"
     )
 

@@ -71,6 +71,23 @@ def test_more_quality_is_taken_more_often(spark):
     assert good > 1.5 * (len(got) - good)
 
 
+def test_what_a_long_document_leaves_over_is_filled_from_all_cells(spark):
+    """A small source with one very long document, beside one that makes the key cells many."""
+    hot = spark.range(30_000).selectExpr("id + 10000 AS doc_id", "'w w' AS text", "'hot' AS source")
+    rows = [(i, "w " * (100 + 7 * i % 401), "z") for i in range(300)] + [(939, "w " * 100_000, "z")]
+    docs = hot.unionByName(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    keys = {r["doc_id"]: r["key"] for r in mixing.keyed(docs).where("source = 'z'").collect()}
+    got = [r for r in mixing.mixed_sizes(docs, (4, 1)).collect() if r["source"] == "z"]
+    target = got[0]["target"]
+    want, left = {}, target
+    for r in sorted(got, key=lambda r: keys[r["doc_id"]]):
+        want[r["doc_id"]] = int(r["size"] <= left)
+        left -= r["size"] * want[r["doc_id"]]
+    assert sum(want.values()) < len(want) and 0 < target < 100_000
+    assert {r["doc_id"]: r["copies"] for r in got} == want
+    assert left < min(r["size"] for r in got if not r["copies"])
+
+
 def test_mix_repeats_rows_as_counted(spark, messy):
     counted = sorted((r["doc_id"] or -1, r["size"], r["copies"]) for r in mixing.mixed_sizes(messy).collect())
     mixed = mixing.mix(messy)
