@@ -1,15 +1,16 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph, searched greedily.
 
 Equal vectors are one node with its smallest ids, so a vector that a third of all rows share costs no
-more than any other. For the graph every vector gets one more coordinate that makes all lengths equal,
-so that the largest inner product is the smallest angle.
+more than any other. Nodes are dealt into ranges of length, so that one long vector decides nothing for
+the others; no range spans more than a factor of four. Within its range every vector gets one more
+coordinate that makes all lengths equal, so that the largest inner product is the smallest angle.
 
 Building: a few random-hyperplane tables cut the nodes into small blocks, and exact neighbours within
 the blocks give a first graph. Each round then joins every node's neighbours with one another (forward
 and reverse ones, at least one of the two new), which makes neighbours of neighbours meet, and keeps
 the best. Rounds end when few edges change.
 
-Searching: a query holds a beam of nodes and expands the best unexpanded ones through joins with the
+Searching: in each range a query holds a beam of nodes and expands the best unexpanded ones through joins with the
 graph and the vectors, until its beam has none left. Final scores are double inner products of the
 original vectors.
 """
@@ -18,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ TABLES, BLOCK = 4, 800
 ROUNDS, FEW = 6, 0.1  #: rounds at most; fewer new edges than this share end them
 BEAM, EXPAND = 64, 16
 ENTRIES = 8
+SPAN, BINS = 2, 4  #: powers of two that a range of lengths spans at most, and bins per power
 BUCKET_NODES = 4_000  #: nodes whose neighbourhoods, or whose vectors, one task holds
 _SEED = 20240607
 
@@ -45,7 +48,9 @@ class Index:
     nodes: DataFrame
     edges: DataFrame
     count: int
-    entries: list[int]  #: a few nodes, the longest and some by hash, at which every query enters too
+    places: DataFrame  #: ``node, range``
+    ranges: int
+    entries: DataFrame  #: ``node, range``: per range the longest nodes and some by hash, or all of a few; queries enter there too
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -78,29 +83,68 @@ def _matrix(column: pd.Series | pa.Array) -> np.ndarray:
     return np.stack(column.to_numpy())
 
 
-def _shorts(nodes: DataFrame) -> DataFrame:
-    """``node, short, t0..``: scaled 16-bit vectors of equal length, and the block key in each table."""
-    longest, count, d = nodes.agg(
-        F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)), F.count(F.lit(1)), F.max(F.size("vec"))
-    ).first()
-    bits = max(0, int(np.ceil(np.log2(max(count, 1) / BLOCK))))
-    planes = np.random.default_rng(_SEED).standard_normal((d + 1, TABLES * bits)) if bits else np.zeros((d + 1, 0))
+def _power(vec: Column) -> Column:
+    """Binary logarithm of a vector's length, also where its square is beyond a double."""
+    most = F.array_max(F.transform(vec, F.abs))
+    square = F.aggregate(F.transform(vec, lambda x: x / most), F.lit(0.0), lambda a, x: a + x * x)
+    return F.log2(most) + F.log2(square) / 2
+
+
+def _ranges(bins: dict[int, int]) -> list[tuple[int, int, int]]:
+    """First bin, last bin and nodes of each range, the longest range first; ``bins`` are counts by length."""
+    out: list[tuple[int, int, int]] = []
+    for b in sorted(bins, reverse=True):
+        if out and b > out[-1][1] - SPAN * BINS:
+            out[-1] = (b, out[-1][1], out[-1][2] + bins[b])
+        else:
+            out.append((b, b, bins[b]))
+    return out
+
+
+def _shorts(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """``node, power, range, short, t0..``: vectors of equal length in their range, and the block key in each table.
+
+    The second value is the number of ranges.
+    """
+    sized = nodes.select("node", "vec", _power(F.col("vec")).alias("power"))
+    counted = sized.groupBy(F.floor(F.col("power") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    ranges = _ranges({r["bin"]: r["n"] for r in counted.collect()})  # a double has some 8,500 bins
+    firsts, lasts = np.array([r[0] for r in ranges]), np.array([r[1] for r in ranges])
+    bits = np.array([max(0, int(np.ceil(np.log2(r[2] / BLOCK)))) for r in ranges])
+    d, most = nodes.agg(F.max(F.size("vec"))).first()[0], int(bits.max())
+    planes = np.random.default_rng(_SEED).standard_normal((d, TABLES * most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("vec")) / np.sqrt(longest)
-            x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]])
-            signs = (x @ planes > 0).reshape(len(x), TABLES, bits)
-            keys = (signs * (1 << np.arange(bits))).sum(axis=2) if bits else np.zeros((len(x), TABLES), np.int64)
-            shorts = np.round(x * 32767).astype("<i2")
+            x, power = _matrix(batch.column("vec")), batch.column("power").to_numpy()
+            at = np.searchsorted(-firsts, -np.floor(power * BINS))  # the first range that begins at or below
+            x = x / np.abs(x).max(axis=1, keepdims=True)
+            x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+            signs = (x @ planes > 0).reshape(len(x), TABLES, most)
+            signs &= (np.arange(most) < bits[at][:, None])[:, None, :]
+            keys = (signs * (1 << np.arange(most))).sum(axis=2)
+            share = np.exp2(np.minimum(0, power - (lasts[at] + 1) / BINS))
+            x = np.hstack([x * share[:, None], np.sqrt(1 - share * share)[:, None]]).astype("<f4")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([s.tobytes() for s in shorts], pa.binary())]
+                [batch.column("node"), batch.column("power"), pa.array(at.astype(np.int32))]
+                + [pa.array([v.tobytes() for v in x], pa.binary())]
                 + [pa.array(keys[:, t].astype(np.int64)) for t in range(TABLES)],
-                names=["node", "short", *[f"t{t}" for t in range(TABLES)]],
+                names=["node", "power", "range", "short", *[f"t{t}" for t in range(TABLES)]],
             )
 
-    columns = ", ".join(["node long", "short binary", *[f"t{t} long" for t in range(TABLES)]])
-    return stage(nodes.select("node", "vec").mapInArrow(run, columns), "ann-shorts")
+    columns = ["node long", "power double", "range int", "short binary", *[f"t{t} long" for t in range(TABLES)]]
+    return stage(sized.mapInArrow(run, ", ".join(columns)), "ann-shorts"), len(ranges)
+
+
+def _entries(shorts: DataFrame) -> DataFrame:
+    """``node, range``: per range its longest nodes and some by hash; all nodes where the range has few."""
+    kept = []
+    for by, most in ((F.desc("power"), ENTRIES), (F.xxhash64("node"), ENTRIES)):
+        rank = F.row_number().over(W.partitionBy("range").orderBy(by, "node"))
+        kept.append(shorts.select("node", "range", "power").withColumn("rank", rank).where(F.col("rank") <= most))
+    few = shorts.groupBy("range").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= BEAM).select("range")
+    kept.append(shorts.select("node", "range").join(F.broadcast(few), "range"))  # one row per range at most
+    return stage(reduce(DataFrame.unionByName, [k.select("node", "range") for k in kept]).distinct(), "ann-entries")
 
 
 def _best(node: np.ndarray, near: np.ndarray, sim: np.ndarray, k: int) -> pd.DataFrame:
@@ -114,17 +158,17 @@ def _best(node: np.ndarray, near: np.ndarray, sim: np.ndarray, k: int) -> pd.Dat
 def _first_graph(shorts: DataFrame) -> DataFrame:
     """Exact neighbours within the blocks of all tables; blocks that are too large are cut by a hash."""
     tables = F.array(*[F.struct(F.lit(t).alias("table"), F.col(f"t{t}").alias("block")) for t in range(TABLES)])
-    rows = shorts.select("node", "short", F.explode(tables).alias("b")).select("node", "short", "b.*")
-    sizes = rows.groupBy("table", "block").agg(F.count(F.lit(1)).alias("held"))
+    rows = shorts.select("node", "range", "short", F.explode(tables).alias("b")).select("node", "range", "short", "b.*")
+    sizes = rows.groupBy("range", "table", "block").agg(F.count(F.lit(1)).alias("held"))
     sizes = stage(sizes.withColumn("cuts", F.ceil(F.col("held") / (2 * BLOCK)).cast("int")), "ann-blocks")
-    rows = rows.join(sizes.select("table", "block", "cuts"), ["table", "block"])
+    rows = rows.join(sizes.select("range", "table", "block", "cuts"), ["range", "table", "block"])
     rows = rows.withColumn("cut", F.pmod(F.xxhash64("node", "table"), F.col("cuts")).cast("int"))
 
     def near(block: pd.DataFrame) -> pd.DataFrame:
         ids = block["node"].to_numpy()
         if len(ids) < 2:
             return pd.DataFrame({"node": ids[:0], "near": ids[:0], "sim": np.zeros(0)})
-        x = np.frombuffer(b"".join(block["short"]), "<i2").reshape(len(ids), -1).astype(np.float64) / 32767
+        x = np.frombuffer(b"".join(block["short"]), "<f4").reshape(len(ids), -1).astype(np.float64)
         s = x @ x.T
         np.fill_diagonal(s, -np.inf)
         k = min(NEIGHBOURS, len(ids) - 1)
@@ -133,7 +177,7 @@ def _first_graph(shorts: DataFrame) -> DataFrame:
             {"node": np.repeat(ids, k), "near": ids[at].ravel(), "sim": np.take_along_axis(s, at, axis=1).ravel()}
         )
 
-    return rows.groupBy("table", "block", "cut").applyInPandas(near, "node long, near long, sim double")
+    return rows.groupBy("range", "table", "block", "cut").applyInPandas(near, "node long, near long, sim double")
 
 
 def _keep_best(edges: DataFrame, k: int) -> DataFrame:
@@ -155,14 +199,14 @@ def _round(edges: DataFrame, shorts: DataFrame, buckets: int) -> DataFrame:
     around = around.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
     held = F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.min("sim")).otherwise(-2.0).alias("worst")
     worst = edges.groupBy("node").agg(held)
-    points = shorts.join(worst, "node", "left").select(F.col("node").alias("near"), "short", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
+    points = shorts.select("node", "short").join(worst, "node", "left").select(F.col("node").alias("near"), "short", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
     needed = around.select("bucket", "near").distinct().join(points, "near")
     needed = needed.toDF("near", "place", "short", "worst")
 
     def meet(part: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         points = points.sort_values("near")
         ids, worst_of = points["near"].to_numpy(), points["worst"].to_numpy()
-        x = np.frombuffer(b"".join(points["short"]), "<i2").reshape(len(ids), -1).astype(np.float32) / np.float32(32767)
+        x = np.frombuffer(b"".join(points["short"]), "<f4").reshape(len(ids), -1)
         part = part.groupby(["node", "near"], as_index=False)["fresh"].max().sort_values("node", kind="stable")
         node, fresh = part["node"].to_numpy(), part["fresh"].to_numpy(bool)
         at = np.searchsorted(ids, part["near"].to_numpy())
@@ -173,11 +217,12 @@ def _round(edges: DataFrame, shorts: DataFrame, buckets: int) -> DataFrame:
             new, m = fresh[a:b], at[a:b]
             if not new.any():
                 continue
-            s = x[m] @ x[m].T
+            y = x[m].astype(np.float64)
+            s = y @ y.T
             useful = (new[:, None] | new[None, :]) & (s > worst_of[m][:, None])
             np.fill_diagonal(useful, False)
             i, j = np.nonzero(useful)
-            found.append((ids[m[i]], ids[m[j]], s[i, j].astype(float)))
+            found.append((ids[m[i]], ids[m[j]], s[i, j]))
             size += len(i)
             if size > 2_000_000:  # what has been found so far is cut to the best, so memory stays bounded
                 kept = _best(*map(np.concatenate, zip(*found, strict=True)), NEIGHBOURS)
@@ -192,13 +237,14 @@ def build(rows: DataFrame, results: int = 20) -> Index:
     """The index over all usable rows; ``results`` is what a search will return at most."""
     nodes = _nodes(usable(rows), results + 1)
     count = nodes.count()
-    shorts = _shorts(nodes) if count else nodes.select("node", F.lit(b"").alias("short"))
     none = rows.sparkSession.createDataFrame([], "node long, near long, sim double, fresh boolean")
-    length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    found = [nodes.orderBy(by, "node").limit(ENTRIES).collect() for by in (F.desc(length), F.xxhash64("node"))]
-    entries = sorted({r["node"] for part in found for r in part})
+    if not count:
+        places = rows.sparkSession.createDataFrame([], "node long, range int")
+        return Index(nodes, none, 0, places, 1, places)
+    shorts, ranges = _shorts(nodes)
+    places, entries = shorts.select("node", "range"), _entries(shorts)
     if count < 2:
-        return Index(nodes, none, count, entries)
+        return Index(nodes, none, count, places, ranges, entries)
     edges = _keep_best(_first_graph(shorts).withColumn("fresh", F.lit(True)), NEIGHBOURS)
     edges = stage(edges, "ann-edges")
     buckets = max(8, count // BUCKET_NODES)
@@ -208,7 +254,18 @@ def build(rows: DataFrame, results: int = 20) -> Index:
         edges = stage(_keep_best(old.unionByName(found), NEIGHBOURS), "ann-edges")
         if edges.where("fresh").count() < FEW * count * NEIGHBOURS:
             break
-    return Index(nodes, edges, count, entries)
+    return Index(nodes, edges, count, places, ranges, entries)
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products row by row; what is beyond a double is infinite with its sign, never NaN."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.einsum("ij,ij->i", a, b)
+        far = np.flatnonzero(~np.isfinite(out))
+        a, b = a[far], b[far]
+        p, q = np.abs(a).max(axis=1, initial=0), np.abs(b).max(axis=1, initial=0)
+        out[far] = np.einsum("ij,ij->i", a / p[:, None], b / q[:, None]) * np.maximum(p, q) * np.minimum(p, q)
+    return out
 
 
 def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
@@ -236,8 +293,9 @@ def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
         sim = np.empty(len(query))
         for a in range(0, len(query), 20_000):
             piece = slice(a, a + 20_000)
-            sim[piece] = np.einsum("ij,ij->i", t[i[piece]], v[j[piece]])
-        good = sim > targets["worst"].to_numpy()[i]
+            sim[piece] = _products(t[i[piece]], v[j[piece]])
+        worst = targets["worst"].to_numpy()[i]
+        good = (sim > worst) | (worst == -np.inf)
         return pd.DataFrame({"query": query[good], "node": node[good], "sim": sim[good]})
 
     grouped = rows.groupBy("part").cogroup(vectors.groupBy("part"))
@@ -245,17 +303,18 @@ def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
 
 
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
-    """``query, node, sim``: the ``beam`` best nodes found for ``queries (query, target, entry)``.
+    """``query, node, sim``: the ``beam`` best nodes found for ``queries (query, target, range, entry)``.
 
-    ``entry`` is a node at which a query enters the graph, beside the index's own few. Every query runs until all nodes of its
-    beam are expanded; the beams of all queries move on together.
+    A query stays in its range of the index. ``entry`` is a node of it (or null) at which the query enters the graph, beside the
+    range's own few. Every query runs until all nodes of its beam are expanded; the beams of all queries move on together.
     """
     by_sim = W.partitionBy("query").orderBy(F.desc("sim"), "node")
     queries = stage(queries, "ann-queries")
     graph = index.edges.select("node", "near")
     low = F.lit(float("-inf"))
-    fixed = F.array(*[F.lit(n).cast("long") for n in index.entries])
-    start = queries.select("query", F.explode(F.array_distinct(F.concat(F.array("entry"), fixed))).alias("node"))
+    start = queries.select("query", "range").join(F.broadcast(index.entries), "range").select("query", "node")  # at most BEAM a range
+    own = queries.where("entry IS NOT NULL").select("query", F.col("entry").alias("node"))
+    start = start.unionByName(own).distinct()
     state = _scored(start, index, queries.select("query", "target", low.alias("worst")))
     state = stage(state.withColumn("done", F.lit(False)), "ann-beam")
     while True:
@@ -283,9 +342,12 @@ def nearest(index: Index, rows: DataFrame, results: int = 20) -> DataFrame:
     rows = usable(rows).distinct()
     asked = rows.join(index.nodes.select("node", "vec"), F.col("embedding") == F.col("vec"))
     asked = stage(asked.select(F.col("vec_id").alias("query_id"), "node"), "ann-asked")
-    queries = asked.select("node").distinct().join(index.nodes, "node")
-    queries = queries.select(F.col("node").alias("query"), F.col("vec").alias("target"), F.col("node").alias("entry"))
-    found = search(index, queries).join(index.nodes.select("node", "members"), "node")
+    queries = asked.select("node").distinct().join(index.nodes, "node").join(index.places.withColumnRenamed("range", "own"), "node")
+    queries = queries.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(index.ranges - 1))))
+    entry = F.when(F.col("own") == F.col("range"), F.col("node"))
+    query = F.col("node") * index.ranges + F.col("range")  # one search per range
+    queries = queries.select(query.alias("query"), F.col("vec").alias("target"), "range", entry.alias("entry"))
+    found = search(index, queries).withColumn("query", F.expr(f"query DIV {index.ranges}")).join(index.nodes.select("node", "members"), "node")
     held = found.select("query", "sim", F.explode("members").alias("vec_id"))
     best = W.partitionBy("query").orderBy(F.desc("sim"), "vec_id")
     held = held.withColumn("place", F.row_number().over(best)).where(F.col("place") <= results + 1)

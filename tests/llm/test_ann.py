@@ -61,6 +61,34 @@ def test_copies_lengths_and_unusable_vectors(spark):
     assert [j for j, _ in got[1000]] == [j for j, _ in want[1000]] == list(range(1001, 1021))
 
 
+@pytest.mark.parametrize("longer", [3.9, 1e3, 1e200])
+def test_one_long_vector_spoils_nothing(spark, longer):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(20_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[777] *= longer
+    asked = np.arange(40, 20_000, 400)
+    asked = np.append(asked, 777)
+    frame = [(int(i), v.tolist()) for i, v in enumerate(x)]
+    rows = spark.createDataFrame(frame, "vec_id long, embedding array<double>").repartition(8)
+    queries = rows.where(rows["vec_id"].isin([int(i) for i in asked]))
+    got = {}
+    for r in ann.nearest(ann.build(rows, 20), queries, 20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    right = []
+    for i in asked:
+        s = x @ (x[i] / np.linalg.norm(x[i] / np.abs(x[i]).max()) / np.abs(x[i]).max())
+        s[i] = -np.inf
+        right.append(len(got[i] & set(np.argsort(-s)[:20].tolist())) / 20)
+    assert len(got[777]) == 20 and np.mean(right) >= 0.9
+
+
+def test_products_beyond_a_double():
+    a = np.array([[1e200, -1e200], [1e200, 1.0], [3.0, 4.0]])
+    b = np.array([[1e200, 2e200], [1e200, 1.0], [1.0, 2.0]])
+    assert ann._products(a, b).tolist() == [-math.inf, math.inf, 11.0]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 5])
 def test_few_vectors(spark, n):
     rows = [(20 * i, [float(i + 1), 1.0], 0, "", "") for i in range(n)]
