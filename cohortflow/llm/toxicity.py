@@ -37,8 +37,11 @@ READINGS = {
 DISGUISED, SKIPPED, DROPPED = 0.7, 8.0, 1.0
 SPACED = 4  #: single characters in a row that are read as one word
 _SPLIT_UP = re.compile(r"\w(?:[._*~-]\w){3,}", re.UNICODE)
+_DOUBLED = re.compile(r"(.)\1", re.DOTALL)
+_INSIDE = re.compile(r"(?<=\w)[._*~-]+(?=\w)", re.UNICODE)
 _DRAWN_OUT = re.compile(r"(.)\1\1", re.DOTALL)
 _EDGES = "\"'`.,;:?)]}>%&^~_-=…"
+SURE = 5  #: letters that a beginning has at least where it is found inside a run or across a mark
 #: Lexicon entries, at most, and the documents that an entry must occur in, at least.
 LEXICON, SUPPORT = 20_000, 3
 STATISTICS = ("words", "strong", "weak", "strong_share", "weak_share", "total", "highest", "restored")
@@ -166,6 +169,23 @@ def _beginnings(word: str) -> list[str]:
     return [word[:n] for n in range(3, min(len(word), 9))] + [f"{word}$"] if len(word) > 2 else []
 
 
+def readings(word: str, costs: np.ndarray) -> list[str]:
+    """Other words that a lower-case word may be meant as: without marks inside it, or without doubled letters."""
+    core = word.strip(_EDGES).rstrip("!#$*%&")
+    out = []
+    joined = _INSIDE.sub("", core)
+    if joined != core and any(ch.isalpha() for ch in joined):
+        out.append(restore_word(joined, costs))
+    if joined.isalpha() and _DOUBLED.search(joined):
+        out.append(viterbi(joined, costs))
+    return out
+
+
+def _sure(entries: list[str]) -> list[str]:
+    """Whole words, and beginnings that are long enough to be no chance."""
+    return [e for e in entries if e.endswith("$") or len(e) >= SURE]
+
+
 @dataclass
 class Model:
     """What scoring needs: character costs, lexicon weights, trees."""
@@ -174,6 +194,10 @@ class Model:
     weights: dict[str, float]
     forest: trees.Forest
     memo: dict[str, tuple[float, bool]] = field(default_factory=dict)
+    longest: int = field(init=False)  #: letters of the longest entry
+
+    def __post_init__(self) -> None:
+        self.longest = max((len(entry.rstrip("$")) for entry in self.weights), default=0)
 
     def look_up(self, word: str) -> tuple[float, bool]:
         found = self.memo.get(word)
@@ -182,14 +206,31 @@ class Model:
                 self.memo.clear()
             meant = restore_word(word, self.costs)
             weight = max((self.weights.get(b, 0.0) for b in _beginnings(meant)), default=0.0)
-            found = self.memo[word] = (weight, weight > 0 and meant not in word)
+            restored = weight > 0 and meant not in word
+            for other in readings(word, self.costs):
+                high = max((self.weights.get(b, 0.0) for b in _sure(_beginnings(other))), default=0.0)
+                if high > weight:
+                    weight, restored = high, True
+            found = self.memo[word] = (weight, restored)
         return found
 
+    def look_up_run(self, run: str) -> tuple[float, bool]:
+        """Of single characters put together: words may begin and end at any of them."""
+        weight, restored = self.look_up(run)
+        meant = restore_word(run, self.costs)
+        for a in range(len(meant) - 2):
+            for b in range(a + 3, min(len(meant), a + self.longest) + 1):
+                part = meant[a:b]
+                high = max(self.weights.get(e, 0.0) for e in (f"{part}$", *_sure([part])))
+                if high > weight:
+                    weight, restored = high, True
+        return weight, restored
+
     def matrix(self, texts: Sequence[str | None]) -> np.ndarray:
         return np.array([self._statistics(t) for t in texts]).reshape(len(texts), len(STATISTICS))
 
     def _statistics(self, text: str | None) -> list[float]:
-        found = restore(text, self.look_up)
+        found = restore(text, self.look_up, self.look_up_run)
         if not found:
             return [0.0] * len(STATISTICS)
         hits = [w for w, _ in found if w > 0]

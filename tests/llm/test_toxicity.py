@@ -88,6 +88,19 @@ def test_held_out_accuracy_and_disguises(spark):
     assert low < 0.3 <= high
 
 
+@pytest.mark.parametrize(
+    "insult",
+    ["what a l o s e r", "you are a m o r o n", "y o u i d i o t", "I D I O T I say", "mmoorroonn", "mo-ron", "id.iot"],
+)
+def test_disguises_in_a_clean_document_are_looked_up(costs, insult):
+    weights = {"loser$": 3.0, "moron$": 3.0, "idiot$": 3.0}
+    model = toxicity.Model(costs, weights, toxicity.trees.constant(0.5))
+    clean = "a well-known letter from this place, e.g. a book of o l d maps and then all went on "
+    strong = toxicity.STATISTICS.index("strong")
+    plain, odd = model.matrix([clean * 4, clean * 2 + insult + " " + clean * 2])[:, strong]
+    assert (plain, odd) == (0.0, 1.0)
+
+
 def test_messy_empty_and_unlabelled(spark, messy, no_docs):
     labels = spark.createDataFrame([(1, 1), (8, 0), (9, 0), (6, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.train(messy, labels, toxicity.F.lit(True))
