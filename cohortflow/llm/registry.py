@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortflow.llm import ann, dedup, jaccard, mixing, packing, pii, quality, sharding, toxicity, urls
+from cohortflow.llm import ann, dedup, jaccard, mixing, packing, phrases, pii, quality, sharding, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_nn_descent": ann.op8_nn_descent,
     "op9_hilbert_sharding": sharding.op9_hilbert_sharding,
     "op10_url_filters": urls.op10_url_filters,
+    "op12_collocations": phrases.op12_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +25,5 @@ ORACLES = {
     "op4_ngram_jaccard": jaccard.OP4_SQL,
     "op5_exact_dedup": dedup.OP5_SQL,
     "op10_url_filters": urls.OP10_SQL,
+    "op12_collocations": phrases.OP12_SQL,
 }
