@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from cohortflow.llm import align, ann, dedup, jaccard, mixing, packing, phrases, pii, quality, sharding, toxicity, urls
+from cohortflow.llm import align, ann, dedup, jaccard, mixing, packing, phrases, pii, quality, sharding, simhash, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_nn_descent": ann.op8_nn_descent,
     "op9_hilbert_sharding": sharding.op9_hilbert_sharding,
     "op10_url_filters": urls.op10_url_filters,
+    "op11_simhash": simhash.op11_simhash,
     "op12_collocations": phrases.op12_collocations,
     "op13_alignment": align.op13_alignment,
     "pipeline": corpus_pipeline.run,
