@@ -35,6 +35,8 @@ from cohortflow.session import stage
 RANKS_A, MODEL_B = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: A tokens of one lane, at most.
 LANE = 512
+#: Bytes of text that are aligned at a time, at most (or one text).
+TEXT_BYTES = 1_000_000
 #: Links of a block that are spelled out at a time.
 LINKS = 4_000_000
 #: Id pairs that are broadcast, at most (24 bytes each); pairs that more documents hold go first.
@@ -223,7 +225,7 @@ def aligned(docs: DataFrame, tokenizers: Callable[[], Tokenizers] = public_pair,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers()
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", TEXT_BYTES):
                 got = align(block.column("text").to_pylist(), pair, lane)
                 offsets = pa.array([0, *accumulate(got.n_keys.tolist())], pa.int32())
                 yield pa.RecordBatch.from_arrays(

@@ -6,6 +6,11 @@ with nulls where its piece of text ends. Only these longest windows are counted
 all windows is every pair of neighbours, the prefix of one word is every word, and the empty prefix is
 the number of words. No shorter n-gram is ever taken from a text.
 
+Most long windows occur once, so a sieve goes ahead of the count. Prefixes are counted by their 64-bit hash
+alone, and what is frequent sets a bit of a bitmap. A lead word whose prefix has no bit becomes padding: its
+phrase is not frequent, and the shorter prefixes keep their sums. Hashes and bits that collide let a
+phrase through, no more; all that is returned is counted by its words.
+
 Only phrases with ``least`` occurrences go on. The parts into which a frequent phrase is cut are frequent
 themselves, so all look-ups stay among them. Products are decimals of 38 digits.
 """
@@ -27,6 +32,8 @@ TOP = 2000
 NO_LANG = "und"
 #: What ends a piece of text, and what a word is within a piece.
 PIECE_END, WORD_OF_PIECE = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
+#: Bits of the sieve per frequent prefix; 64-bit numbers of the sieve, at least and at most; numbers in a row of it.
+SIEVE_BITS, SIEVE_NUMBERS, SIEVE_ROW = 16, (1 << 10, 1 << 23), 1 << 10
 #: Candidates of a language that one task ranks, about.
 RANKED_ROWS = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,10 +51,48 @@ def windows(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     return rows.where(F.size("w") > 0).select("lang", F.inline(F.arrays_zip(*leads)))
 
 
+def _prefix_hash(words: int) -> Column:
+    """Hash of a window's first ``words`` words and its language; null where it is padded."""
+    last = F.col(f"w{words}")
+    return F.when(last.isNotNull(), F.xxhash64("lang", *[f"w{i + 1}" for i in range(words)]))
+
+
+def sieve(rows: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, int]:
+    """A written table ``row, bits`` (``array<bigint>``) with a bit for every prefix hash held ``least`` times, and its numbers.
+
+    The size follows the count of such hashes up to a bound; beyond it bits are shared more often.
+    """
+    hashes = F.array(*[_prefix_hash(m) for m in range(2, longest + 1)])
+    held = rows.select(F.explode(F.array_compact(hashes)).alias("h")).groupBy("h").count()
+    frequent = stage(held.where(F.col("count") >= least).select("h"), "phrases-frequent")
+    wanted = frequent.count() * SIEVE_BITS // 64
+    numbers = min(max(1 << wanted.bit_length(), SIEVE_NUMBERS[0]), SIEVE_NUMBERS[1])
+    place = frequent.select(F.pmod("h", F.lit(64 * numbers)).alias("x"))
+    marked = place.select(F.expr("shiftright(x, 6) AS number"), F.expr("shiftleft(1L, CAST(x & 63 AS INT)) AS bit"))
+    none = rows.sparkSession.range(numbers).select(F.col("id").alias("number"), F.lit(0).cast("long").alias("bit"))
+    each = marked.unionByName(none).groupBy("number").agg(F.bit_or("bit").alias("bit"))
+    in_order = F.sort_array(F.collect_list(F.struct("number", "bit")))
+    table = each.groupBy(F.expr(f"number div {SIEVE_ROW}").alias("row")).agg(in_order.alias("all"))
+    return stage(table.select("row", F.col("all.bit").alias("bits")), "phrases-sieve"), numbers
+
+
+def sieved(rows: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+    """The windows, padded from the first lead word on whose prefix is not frequent."""
+    table, numbers = sieve(rows, longest, least)
+    for m in range(2, longest + 1):
+        x = F.pmod(_prefix_hash(m), F.lit(64 * numbers))
+        # 64 MB at most: SIEVE_NUMBERS.
+        rows = rows.withColumn("x", x).withColumn("row", F.expr(f"shiftright(x, 6) div {SIEVE_ROW}"))
+        rows = rows.join(F.broadcast(table), "row", "left")
+        bit = F.expr(f"(shiftright(bits[CAST(shiftright(x, 6) % {SIEVE_ROW} AS INT)], CAST(x & 63 AS INT)) & 1) = 1")
+        rows = rows.withColumn(f"w{m}", F.when(bit, F.col(f"w{m}"))).drop("x", "row", "bits")
+    return rows
+
+
 def counted(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """Two written tables: ``lang, words, a`` of phrases of up to ``longest`` words, and ``lang, n``."""
     columns = [f"w{i + 1}" for i in range(longest)]
-    top = windows(docs, longest).groupBy("lang", *columns).agg(F.count(F.lit(1)).alias("held"))
+    top = sieved(windows(docs, longest), longest, least).groupBy("lang", *columns).agg(F.count(F.lit(1)).alias("held"))
     summed = top.rollup("lang", *columns).agg(F.sum("held").alias("a"), F.grouping_id().alias("level"))
     # Bits of the level name the columns that a sum runs over, the last column first.
     open_ = F.lit(longest) - F.bit_count("level")

@@ -91,13 +91,13 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def blocks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have ``BLOCK_BYTES`` at most (or are a single row)."""
+def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have ``most`` bytes at most (or are a single row)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(ends):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -78,6 +78,19 @@ def test_products_beyond_64_bits(spark):
     assert row["score"] == 10**6 * a * a // (12 * 10**24)
 
 
+def test_a_sieve_of_few_bits_lets_more_through_and_changes_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choices("abcdefgh", k=40)), rng.choice(["en", "de"])) for _ in range(150)]
+    want = _brute(rows, least=12)
+    windows = phrases.windows(_docs(spark, rows))
+    few = phrases.sieved(windows, least=12).where("w3 IS NOT NULL").count()
+    assert _got(_docs(spark, rows), least=12) == want
+    monkeypatch.setattr(phrases, "SIEVE_NUMBERS", (1, 1))
+    monkeypatch.setattr(phrases, "SIEVE_ROW", 1)
+    assert phrases.sieved(windows, least=12).where("w3 IS NOT NULL").count() > 3 * few > 0
+    assert _got(_docs(spark, rows), least=12) == want
+
+
 def test_ranking_in_parts_gives_the_same(spark, monkeypatch):
     rng = random.Random(1)
     rows = [(" ".join(rng.choices("abcdefghijklmnop", k=60)), "en") for _ in range(100)]
