@@ -30,12 +30,12 @@ LEAST = 10
 COVERED = 50
 TOP = 2000
 NO_LANG = "und"
-#: What ends a piece of text, and what a word is within a piece.
-PIECE_END, WORD_OF_PIECE = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
+#: What ends a piece of text, and what parts words within a piece; the first of each stands for the others.
+PIECE_ENDS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 #: Bits of the sieve per frequent prefix; 64-bit numbers of the sieve, at least and at most; numbers in a row of it.
 SIEVE_BITS, SIEVE_NUMBERS, SIEVE_ROW = 16, (1 << 10, 1 << 23), 1 << 10
-#: Candidates of a language that one task ranks, about.
-RANKED_ROWS = 200_000
+#: Candidates of a language that one task ranks, about; parts of a language, at least.
+RANKED_ROWS, RANKED_PARTS = 200_000, 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,9 +43,12 @@ def windows(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     """``lang, w1, .. w<longest>`` per word occurrence: the word and its lead words, null behind the piece's end."""
     rows = pick(docs, "text", "lang")
     lang = F.coalesce(F.col("lang"), F.lit(NO_LANG)).alias("lang")
-    pieces = F.split(F.translate("text", _UPPER, _LOWER), PIECE_END)
-    rows = rows.select(lang, F.explode(pieces).alias("piece"))
-    rows = rows.select("lang", F.regexp_extract_all("piece", F.lit(WORD_OF_PIECE), F.lit(0)).alias("w"))
+    # One translation, so that both splits are by one plain character.
+    plain = F.translate(
+        "text", _UPPER + PIECE_ENDS[1:] + BLANKS[1:], _LOWER + PIECE_ENDS[0] * len(PIECE_ENDS[1:]) + BLANKS[0] * len(BLANKS[1:])
+    )
+    rows = rows.select(lang, F.explode(F.split(plain, r"\.")).alias("piece"))
+    rows = rows.select("lang", F.array_remove(F.split("piece", BLANKS[0]), "").alias("w"))
     # Lead columns: the words moved up by 0, 1, ..; arrays_zip pads the shorter ones with nulls.
     leads = [F.slice("w", i + 1, F.size("w")).alias(f"w{i + 1}") for i in range(longest)]
     return rows.where(F.size("w") > 0).select("lang", F.inline(F.arrays_zip(*leads)))
@@ -62,8 +65,8 @@ def sieve(rows: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[
 
     The size follows the count of such hashes up to a bound; beyond it bits are shared more often.
     """
-    hashes = F.array(*[_prefix_hash(m) for m in range(2, longest + 1)])
-    held = rows.select(F.explode(F.array_compact(hashes)).alias("h")).groupBy("h").count()
+    hashes = [_prefix_hash(m) for m in range(2, longest + 1)]
+    held = rows.select(F.stack(F.lit(len(hashes)), *hashes).alias("h")).where("h IS NOT NULL").groupBy("h").count()
     frequent = stage(held.where(F.col("count") >= least).select("h"), "phrases-frequent")
     wanted = frequent.count() * SIEVE_BITS // 64
     numbers = min(max(1 << wanted.bit_length(), SIEVE_NUMBERS[0]), SIEVE_NUMBERS[1])
@@ -156,7 +159,7 @@ def collocations(
     kept = kept.select("lang", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "score")
     kept = stage(kept, "phrases-kept")
     # Ranked in two steps, so that a language of any size is cut before it comes together.
-    salts = max(1, kept.count() // RANKED_ROWS)
+    salts = max(RANKED_PARTS, kept.count() // RANKED_ROWS)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     salt = F.pmod(F.xxhash64("phrase"), F.lit(salts)).alias("salt")
     part = F.row_number().over(W.partitionBy("lang", "salt").orderBy(*order))
