@@ -9,14 +9,14 @@ ones that still fit; a source then misses its target by less than the shortest d
 The text is read once for a narrow table, which is written to the shared folder. A source is never
 sorted as a whole: sums per ``(source, key cell)`` are enough to find the one cell in which the budget
 ends, and only that cell is ordered. What it leaves over is less than one document holds, so of the
-rows behind it few can be taken: of each size the first ones by key, as many as fit.
+rows behind it few can be taken: of each size the first ones by key, as many as fit. These candidates
+meet per source, and one aggregate over them in key order says which are taken.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -73,13 +73,12 @@ def targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
 
 
 def plan(
-    rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, behind: bool = True
+    rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS
 ) -> tuple[DataFrame, int, DataFrame, int]:
     """One row per source with its target, whole epochs, and the last key that is taken once more.
 
     ``rows`` is a written table ``doc_id, source, size, key``. The second value is the row count. The
-    third and fourth are the rows behind the last key that are taken too, and their count; without
-    ``behind`` there are none.
+    third and fourth are the rows behind the last key that are taken too, and their count.
     """
     found = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     found = stage(found, "mix-sources")
@@ -89,7 +88,9 @@ def plan(
     budgets = targets(found.select("source", "source_size"), weights, max_epochs)
     epochs = F.floor(F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))).cast("long")
     budgets = budgets.withColumn("epochs", epochs)
-    budgets = stage(budgets.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-budgets")
+    # Sizes are whole numbers, so what a budget has left is one too.
+    budget = F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
+    budgets = stage(budgets.withColumn("budget", budget), "mix-budgets")
     least = F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")
     summed = stage(rows.groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("held"), least), "mix-cells")
     ahead = F.sum("held").over(W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, 0))
@@ -123,8 +124,6 @@ def plan(
         .select("source", "source_size", "target", "epochs", "edge", "left", "cuts", F.lit(cells).alias("cells"))
     )
     full = stage(full, "mix-plan")
-    if not behind:
-        return full, sources, full, 0
     picks = stage(_picks(rows, summed, full, sources), "mix-picks")
     return full, sources, picks, picks.count()
 
@@ -161,17 +160,19 @@ def _picks(rows: DataFrame, summed: DataFrame, full: DataFrame, sources: int) ->
     place = F.row_number().over(W.partitionBy("source", "cell", "held").orderBy("key", "id"))
     first = free.join(counted, same).withColumn("place", F.col("before") + place).where("place <= most")
 
-    def fill(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["key", "id"], na_position="first")
-        left, taken = part["rest"].iloc[0], []
-        for held in part["held"]:
-            taken.append(held <= left)
-            left -= held if taken[-1] else 0
-        return part.loc[taken, ["source", "id", "size", "key"]]
+    # Bounded: the shortest document first, ``rest`` holds no more than rest / size of each size, and rest is
+    # less than one document of the edge cell.
+    order = F.array_sort(F.collect_list(F.struct("key", "id", "size", "held"))).alias("candidates")
+    per_source = first.groupBy("source").agg(F.max("rest").alias("rest"), order)
+    kind = per_source.schema["candidates"].dataType.simpleString()
+    none = F.struct(F.col("rest").alias("left"), F.array().cast(kind).alias("taken"))
 
-    first = first.select("source", "id", "size", "key", "held", "rest")
-    columns = f"source {rows.schema['source'].dataType.simpleString()}, id string, size long, key double"
-    return first.groupBy("source").applyInPandas(fill, columns)
+    def take(state: Column, row: Column) -> Column:
+        after = F.struct((state["left"] - row["held"]).alias("left"), F.array_append(state["taken"], row).alias("taken"))
+        return F.when(row["held"] <= state["left"], after).otherwise(state)
+
+    taken = F.aggregate("candidates", none, take, lambda state: state["taken"])
+    return per_source.select("source", F.explode(taken).alias("t")).select("source", "t.id", "t.size", "t.key")
 
 
 def _cell(cells: Column) -> Column:
@@ -191,8 +192,8 @@ def _copies(of: str) -> Column:
     """Copies of a row, from its ``size``, ``key``, ``doc_id`` and ``picked`` and the plan's columns under ``of``."""
     cell, edge = _cell(F.col(f"{of}.cells")), F.col(f"{of}.edge")
     # No edge: the target is met by whole epochs.
-    more = F.coalesce((cell < edge) | ((cell == edge) & _within(of)), F.lit(False))
-    return F.col(f"{of}.epochs") + (more | F.col("picked")).cast("long")
+    more = F.coalesce((cell < edge) | ((cell == edge) & _within(of)), F.lit(False)) | F.col("picked")
+    return F.col(f"{of}.epochs") + (more & (F.col("size") > 0)).cast("long")
 
 
 def _planned(rows: DataFrame, per_source: DataFrame, sources: int, picks: DataFrame, picked: int) -> DataFrame:
@@ -207,18 +208,15 @@ def _planned(rows: DataFrame, per_source: DataFrame, sources: int, picks: DataFr
     return joined.join(picks, same, "left").withColumn("picked", F.col("k").isNotNull())
 
 
-def mixed_sizes(
-    docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, behind: bool = True
-) -> DataFrame:
+def mixed_sizes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Per row: ``doc_id, source, size, source_size, target, copies, taken``.
 
     Null texts, empty texts and texts of white space have size 0 and take nothing. A null source is a
     source of its own, the last one. Rows that repeat an id share a key, and at the edge of a budget
-    they are all taken or all left. Empty tables give an empty result. Without ``behind`` the passes
-    over the edge cell are all, and what they leave over stays open.
+    they are all taken or all left. Empty tables give an empty result.
     """
     rows = stage(keyed(docs), "mix-rows")
-    return _planned(rows, *plan(rows, weights, max_epochs, behind)).select(
+    return _planned(rows, *plan(rows, weights, max_epochs)).select(
         "doc_id",
         "source",
         "size",
@@ -233,7 +231,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     """The mixture itself: the rows of ``docs``, each as often as it is taken, with its own columns.
 
     Texts without words carry no tokens and cannot bring a source nearer to its target; they are
-    taken in whole epochs and in key order like any other row.
+    taken in whole epochs only.
     """
     planned = plan(stage(keyed(docs), "mix-rows"), weights, max_epochs)
     inner = [f"c{i}" for i in range(len(docs.columns))]
@@ -246,14 +244,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the weights 5, 2, 1 of their sources, by the rule of ``OP1_SQL``: the edge cell only."""
-    return mixed_sizes(read(spark, sf_dir, "documents"), behind=False).select(
+    """All documents mixed to the weights 5, 2, 1 of their sources."""
+    return mixed_sizes(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies", "source"
     )
 
 
 OP1_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     -ln((CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0)
       / (0.25e0 + coalesce(length(regexp_replace(text, '[^\p{L}]+', '', 'g'))::DOUBLE / nullif(length(text), 0), 0)) AS key
@@ -269,23 +267,13 @@ t AS (SELECT source, source_size, CASE WHEN capped THEN 3e0 * source_size ELSE
     ((total - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ()) * weight)::DOUBLE
     / nullif(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 0)::DOUBLE END AS target FROM l),
 e AS (SELECT *, CAST(floor(coalesce(target / nullif(source_size, 0), 0)) AS BIGINT) AS epochs FROM t),
-n AS (SELECT CAST(greatest(1, max(c) // least(greatest(max(c) // 256, 64), 20000)) AS BIGINT) AS cells
-  FROM (SELECT count(*) AS c FROM d GROUP BY source)),
 c AS (SELECT d.doc_id, d.size, d.key, d.source, e.source_size, e.target, e.epochs,
-    e.target - e.epochs * e.source_size AS budget, least(cells - 1, floor((1 - exp(-d.key)) * cells)) AS cell
-  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source CROSS JOIN n),
-h AS (SELECT source, cell, sum(size) AS held FROM c GROUP BY source, cell),
-f AS (SELECT *, sum(held) OVER (PARTITION BY source ORDER BY cell ROWS UNBOUNDED PRECEDING) AS upto FROM h),
-r0 AS (SELECT c.*, f.upto - f.held AS start, budget > 0 AND upto <= budget AS whole, budget > 0 AND held > 0 AND upto - held <= budget AND upto > budget AS at_edge
-  FROM c JOIN f ON c.source IS NOT DISTINCT FROM f.source AND c.cell = f.cell),
-r1 AS (SELECT *, budget - start AS left0, at_edge AND size <= budget - start AS fits0 FROM r0),
-r2 AS (SELECT *, fits0 AND sum(CASE WHEN fits0 THEN size ELSE 0 END) OVER (PARTITION BY source, cell ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= left0 AS take0 FROM r1),
-r3 AS (SELECT *, left0 - sum(CASE WHEN take0 THEN size ELSE 0 END) OVER (PARTITION BY source, cell) AS left1 FROM r2),
-r4 AS (SELECT *, at_edge AND NOT take0 AND size <= left1 AS fits1 FROM r3),
-r5 AS (SELECT *, fits1 AND sum(CASE WHEN fits1 THEN size ELSE 0 END) OVER (PARTITION BY source, cell ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= left1 AS take1 FROM r4),
-r6 AS (SELECT *, left1 - sum(CASE WHEN take1 THEN size ELSE 0 END) OVER (PARTITION BY source, cell) AS left2 FROM r5),
-r7 AS (SELECT *, at_edge AND NOT take0 AND NOT take1 AND size <= left2 AS fits2 FROM r6),
-r8 AS (SELECT *, fits2 AND sum(CASE WHEN fits2 THEN size ELSE 0 END) OVER (PARTITION BY source, cell ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) <= left2 AS take2 FROM r7),
-r AS (SELECT *, epochs + CASE WHEN whole OR take0 OR take1 OR take2 THEN 1 ELSE 0 END AS copies FROM r8)
+    CASE WHEN d.size > 0 THEN row_number() OVER (PARTITION BY d.source, d.size > 0 ORDER BY d.key, d.doc_id, d.size) END AS place
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+g AS (SELECT source, 0::BIGINT AS place, CAST(floor(target - epochs * source_size) AS BIGINT) AS rest, false AS take FROM e
+  UNION ALL SELECT c.source, c.place, g.rest - CASE WHEN c.size <= g.rest THEN c.size ELSE 0 END, c.size <= g.rest
+  FROM g JOIN c ON c.source IS NOT DISTINCT FROM g.source AND c.place = g.place + 1),
+r AS (SELECT c.*, c.epochs + CASE WHEN g.take THEN 1 ELSE 0 END AS copies
+  FROM c LEFT JOIN g ON c.source IS NOT DISTINCT FROM g.source AND c.place = g.place)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies, source FROM r
 """

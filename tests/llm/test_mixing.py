@@ -71,6 +71,22 @@ def test_more_quality_is_taken_more_often(spark):
     assert good > 1.5 * (len(got) - good)
 
 
+def test_the_query_itself_fills_what_is_left_over(spark, tmp_path):
+    """The query on a small source with one very long document: nearer than its shortest document left."""
+    hot = spark.range(30_000).selectExpr("id + 10000 AS doc_id", "'w w' AS text", "'hot' AS source")
+    rows = [(i, "w " * (100 + 7 * i % 401), "z") for i in range(300)] + [(939, "w " * 100_000, "z")]
+    docs = hot.unionByName(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in mixing.op1_mixing(spark, str(tmp_path)).collect() if r["source"] == "z"]
+    missed = got[0]["target"] - sum(r["taken"] for r in got)
+    assert 0 <= missed < min(r["size"] for r in got if not r["taken"])
+
+
+def test_no_python_in_the_plan(spark, tables):
+    plan = mixing.mix(read(spark, tables, "documents"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_what_a_long_document_leaves_over_is_filled_from_all_cells(spark):
     """A small source with one very long document, beside one that makes the key cells many."""
     hot = spark.range(30_000).selectExpr("id + 10000 AS doc_id", "'w w' AS text", "'hot' AS source")
