@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import clean_double, round_even
+from cohortflow.operators import spectral
 from cohortflow.operators.relational import require_columns
 from cohortflow.session import stage
 
@@ -30,7 +31,6 @@ MAX_MEASURES = 65_535
 SEED = 42
 RESTARTS = 10
 MICRO_CLUSTERS = 500
-NEIGHBOURS = 10
 PARALLEL_FITS = 10
 
 
@@ -120,8 +120,8 @@ def cluster_patients(
 ) -> ClusterResult:
     """Cluster persons by their standardised mean measurements.
 
-    Algorithms: ``kmeans``; ``agglomerative`` (Ward) and ``spectral`` (nearest-neighbour affinity)
-    group ``micro_clusters`` k-means micro-clusters, at every table size.
+    Algorithms: ``kmeans``; ``spectral`` (nearest-neighbour affinity, all persons); ``agglomerative``
+    (Ward) groups ``micro_clusters`` k-means micro-clusters, at every table size.
     Scoring ``range`` names clusters by risk from reference ranges, ``instrument`` by HAM-D total.
     """
     needed = ["person_id", "measurement_id", "measurement_source_value", "value_as_number"]
@@ -231,6 +231,12 @@ def _label(
     if algorithm == "kmeans":
         model = _best_kmeans(features, k, restarts)
         return model.setPredictionCol("cluster").transform(features)
+    if algorithm == "spectral":
+        placed, columns = spectral.embedding(features, k)
+        placed = stage(placed.select("z", F.array(*columns).alias("e")), "embedding")
+        rows = placed.withColumn("features", array_to_vector("e"))
+        found = _best_kmeans(rows, k, restarts).setPredictionCol("cluster").transform(rows)
+        return features.join(found.select("z", "cluster"), "z")
 
     micro = KMeans(
         k=micro_clusters, seed=SEED, initMode="random", maxIter=10, featuresCol="features"
@@ -241,7 +247,7 @@ def _label(
     points = features.sparkSession.createDataFrame(centres, "_micro int, centre array<double>").join(
         assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")), "_micro"
     )
-    groups = _group(points, k, algorithm, restarts)
+    groups = _group(points, k)
     return assigned.join(F.broadcast(groups), "_micro").drop("_micro")  # at most micro_clusters rows
 
 
@@ -264,26 +270,17 @@ def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def _group(points: DataFrame, k: int, algorithm: str, restarts: int) -> DataFrame:
+def _group(points: DataFrame, k: int) -> DataFrame:
     """``_micro, cluster`` of the micro-clusters (``_micro, centre, n``): a bounded table, one task."""
-    ward = algorithm == "agglomerative"
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_micro")
-        centres, wanted = np.stack(rows["centre"].to_numpy()), min(k, len(rows))
-        if ward:
-            found = _ward(centres, rows["n"].to_numpy(dtype=float), wanted)
-            return pd.DataFrame({"_micro": rows["_micro"], "cluster": found.astype(np.int32)})
-        return pd.DataFrame({"_micro": rows["_micro"], "e": list(_spectral_embedding(centres, wanted))})
+        found = _ward(np.stack(rows["centre"].to_numpy()), rows["n"].to_numpy(dtype=float), min(k, len(rows)))
+        return pd.DataFrame({"_micro": rows["_micro"], "cluster": found.astype(np.int32)})
 
-    schema = "_micro int, cluster int" if ward else "_micro int, e array<double>"
     # staged, as what follows reads it more than once
-    found = stage(points.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(work, schema), "groups")
-    if ward:
-        return found
-    rows = found.withColumn("features", array_to_vector("e"))
-    model = _best_kmeans(rows, min(k, found.count()), restarts).setPredictionCol("cluster")
-    return model.transform(rows).select("_micro", "cluster")
+    schema = "_micro int, cluster int"
+    return stage(points.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(work, schema), "groups")
 
 
 def _ward(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
@@ -308,20 +305,3 @@ def _ward(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
         cost[a, a] = cost[a, b] = np.inf
         cost[:, a] = cost[a, :]
     return np.unique(label, return_inverse=True)[1]
-
-
-def _spectral_embedding(points: np.ndarray, k: int) -> np.ndarray:
-    """Leading eigenvectors of the normalised nearest-neighbour graph (each point is its own neighbour)."""
-    square = (points**2).sum(axis=1)
-    gaps = np.maximum(square[:, None] + square[None, :] - 2 * points @ points.T, 0.0)
-    np.fill_diagonal(gaps, 0.0)
-    near = np.argsort(gaps, axis=1, kind="stable")[:, : min(NEIGHBOURS, len(points))]
-    graph = np.zeros_like(gaps)
-    np.put_along_axis(graph, near, 1.0, axis=1)
-    np.fill_diagonal(graph, 1.0)
-    graph = 0.5 * (graph + graph.T)
-    np.fill_diagonal(graph, 0.0)
-    degree = np.sqrt(np.maximum(graph.sum(axis=1), 1e-12))
-    laplacian = np.eye(len(points)) - graph / degree[:, None] / degree[None, :]
-    _, vectors = np.linalg.eigh(laplacian)
-    return vectors[:, :k] / degree[:, None]
