@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions.exprs import clean_double, round_even
-from cohortflow.operators import spectral
+from cohortflow.operators import spectral, ward
 from cohortflow.operators.relational import require_columns
 from cohortflow.session import stage
 
@@ -30,7 +29,6 @@ SEVERITY_NAMES = ("Low Severity", "Moderate Severity", "High Severity")
 MAX_MEASURES = 65_535
 SEED = 42
 RESTARTS = 10
-MICRO_CLUSTERS = 500
 PARALLEL_FITS = 10
 
 
@@ -116,12 +114,10 @@ def cluster_patients(
     algorithm: str = "kmeans",
     scoring: str = "range",
     restarts: int = RESTARTS,
-    micro_clusters: int = MICRO_CLUSTERS,
 ) -> ClusterResult:
     """Cluster persons by their standardised mean measurements.
 
-    Algorithms: ``kmeans``; ``spectral`` (nearest-neighbour affinity, all persons); ``agglomerative``
-    (Ward) groups ``micro_clusters`` k-means micro-clusters, at every table size.
+    Algorithms: ``kmeans``; ``spectral`` (nearest-neighbour affinity); ``agglomerative`` (Ward).
     Scoring ``range`` names clusters by risk from reference ranges, ``instrument`` by HAM-D total.
     """
     needed = ["person_id", "measurement_id", "measurement_source_value", "value_as_number"]
@@ -137,7 +133,7 @@ def cluster_patients(
 
     means = stage(person_means(df), "person-means")
     features = stage(_features(means), "features")
-    labelled = _label(features, int(n_clusters), algorithm, restarts, micro_clusters)
+    labelled = _label(features, int(n_clusters), algorithm, restarts)
     model = PCA(k=2, inputCol="features", outputCol="_pca").fit(features)
     pca = vector_to_array("_pca")
     signs = [float(np.sign(c[np.argmax(np.abs(c))])) for c in model.pc.toArray().T]
@@ -225,9 +221,7 @@ def _features(means: DataFrame) -> DataFrame:
     )
 
 
-def _label(
-    features: DataFrame, k: int, algorithm: str, restarts: int, micro_clusters: int
-) -> DataFrame:
+def _label(features: DataFrame, k: int, algorithm: str, restarts: int) -> DataFrame:
     if algorithm == "kmeans":
         model = _best_kmeans(features, k, restarts)
         return model.setPredictionCol("cluster").transform(features)
@@ -238,17 +232,7 @@ def _label(
         found = _best_kmeans(rows, k, restarts).setPredictionCol("cluster").transform(rows)
         return features.join(found.select("z", "cluster"), "z")
 
-    micro = KMeans(
-        k=micro_clusters, seed=SEED, initMode="random", maxIter=10, featuresCol="features"
-    ).fit(features)
-    assigned = stage(micro.setPredictionCol("_micro").transform(features).drop("features"), "micro")
-    assigned = assigned.withColumn("features", array_to_vector("z"))
-    centres = [(i, [float(x) for x in c]) for i, c in enumerate(micro.clusterCenters())]
-    points = features.sparkSession.createDataFrame(centres, "_micro int, centre array<double>").join(
-        assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")), "_micro"
-    )
-    groups = _group(points, k)
-    return assigned.join(F.broadcast(groups), "_micro").drop("_micro")  # at most micro_clusters rows
+    return features.join(ward.labels(features, k), "z")
 
 
 def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
@@ -268,40 +252,3 @@ def _best_kmeans(features: DataFrame, k: int, restarts: int) -> KMeansModel:
     finally:
         features.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def _group(points: DataFrame, k: int) -> DataFrame:
-    """``_micro, cluster`` of the micro-clusters (``_micro, centre, n``): a bounded table, one task."""
-
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_micro")
-        found = _ward(np.stack(rows["centre"].to_numpy()), rows["n"].to_numpy(dtype=float), min(k, len(rows)))
-        return pd.DataFrame({"_micro": rows["_micro"], "cluster": found.astype(np.int32)})
-
-    # staged, as what follows reads it more than once
-    schema = "_micro int, cluster int"
-    return stage(points.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(work, schema), "groups")
-
-
-def _ward(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Merge the two groups whose union raises the within-group variance least, until k remain."""
-    centres, weights = centres.copy(), weights.copy()
-    label = np.arange(len(centres))
-
-    def costs(i: int) -> np.ndarray:
-        gap = ((centres - centres[i]) ** 2).sum(axis=1)
-        return np.where(weights > 0, weights * weights[i] / np.maximum(weights + weights[i], 1e-300) * gap, np.inf)
-
-    cost = np.array([costs(i) for i in range(len(centres))])
-    np.fill_diagonal(cost, np.inf)
-    for _ in range(len(centres) - k):
-        a, b = sorted(np.unravel_index(np.argmin(cost), cost.shape))
-        total = weights[a] + weights[b]
-        centres[a] = (centres[a] * weights[a] + centres[b] * weights[b]) / total
-        weights[a], weights[b] = total, 0.0
-        label[label == b] = a
-        cost[b, :] = cost[:, b] = np.inf
-        cost[a, :] = costs(a)
-        cost[a, a] = cost[a, b] = np.inf
-        cost[:, a] = cost[a, :]
-    return np.unique(label, return_inverse=True)[1]

@@ -63,42 +63,21 @@ def embedding(points: DataFrame, k: int) -> tuple[DataFrame, list[str]]:
 
 def nearest_graph(nodes: DataFrame, count: int, neighbours: int = NEIGHBOURS) -> DataFrame:
     """A written table ``a, b, w`` in both directions: half a unit for every node that has the other among its nearest."""
-    trees = _trees(nodes, count)
-
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if not len(frame):
-                continue
-            x = np.stack(frame["z"].to_numpy())
-            for t, (dims, cuts) in enumerate(trees):
-                place = np.zeros(len(x), np.int64)
-                while dims and place[0] < len(dims):  # all leaves lie at one depth
-                    place = 2 * place + 1 + (x[np.arange(len(x)), np.array(dims)[place]] > np.array(cuts)[place])
-                yield pd.DataFrame({"tree": t, "part": place, "node": frame["node"], "z": frame["z"]})
-
     def nearest(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
         ids, x = frame["node"].to_numpy(), np.stack(frame["z"].to_numpy())
         rng = np.random.default_rng([SEED, int(key[0]), int(key[1])])
-        waiting, out = [np.arange(len(ids))], []
-        while waiting:
-            block = waiting.pop()
-            if len(block) > BLOCK_NODES:
-                widest = np.argsort(-x[block].std(axis=0), kind="stable")[:3]
-                order = block[np.argsort(x[block, rng.choice(widest)], kind="stable")]
-                at = int(len(order) * rng.uniform(0.4, 0.6))
-                waiting += [order[:at], order[at:]]
-                continue
+        out = []
+        for block in small_blocks(x, rng):
             y = x[block]
-            gaps = ((y[:, None, :] - y[None, :, :]) ** 2).sum(axis=2) if y.size < 20_000 else _gaps(y)
+            gaps = squared_gaps(y)
             np.fill_diagonal(gaps, np.inf)
             near = np.argsort(gaps, axis=1, kind="stable")[:, : min(neighbours, len(block) - 1)]
             a = np.repeat(np.arange(len(block)), near.shape[1])
             out.append(pd.DataFrame({"a": ids[block[a]], "b": ids[block[near.ravel()]], "gap": gaps[a, near.ravel()]}))
         return pd.concat(out)
 
-    parted = nodes.mapInPandas(part, "tree int, part long, node long, z array<double>")
-    found = parted.groupBy("tree", "part").applyInPandas(nearest, "a long, b long, gap double")
+    found = in_groups(nodes, count).groupBy("tree", "part").applyInPandas(nearest, "a long, b long, gap double")
     found = found.groupBy("a", "b").agg(F.min("gap").alias("gap"))
     best = F.row_number().over(W.partitionBy("a").orderBy("gap", "b"))  # TREES * neighbours rows at most
     found = found.withColumn("place", best).where(F.col("place") <= neighbours).select("a", "b", F.lit(0.5).alias("w"))
@@ -106,7 +85,43 @@ def nearest_graph(nodes: DataFrame, count: int, neighbours: int = NEIGHBOURS) ->
     return stage(both.groupBy("a", "b").agg(F.sum("w").alias("w")), "spectral-graph")
 
 
-def _gaps(y: np.ndarray) -> np.ndarray:
+def in_groups(nodes: DataFrame, count: int) -> DataFrame:
+    """``nodes`` (with ``z``) once per tree, with ``tree, part``: groups of about ``GROUP_NODES`` near ones."""
+    trees = _trees(nodes, count)
+
+    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if not len(frame):
+                continue
+            x = np.stack(frame["z"].to_numpy())
+            for t, (dims, cuts) in enumerate(trees):
+                place = np.zeros(len(x), np.int64)
+                while dims and place[0] < len(dims):  # all leaves lie at one depth
+                    place = 2 * place + 1 + (x[np.arange(len(x)), np.array(dims)[place]] > np.array(cuts)[place])
+                yield frame.assign(tree=np.int32(t), part=place)
+
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
+    return nodes.mapInPandas(part, f"{columns}, tree int, part long")
+
+
+def small_blocks(x: np.ndarray, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Row numbers of ``x`` in blocks of ``BLOCK_NODES`` at most, cut along wide coordinates."""
+    waiting = [np.arange(len(x))]
+    while waiting:
+        block = waiting.pop()
+        if len(block) <= BLOCK_NODES:
+            yield block
+            continue
+        widest = np.argsort(-x[block].std(axis=0), kind="stable")[:3]
+        order = block[np.argsort(x[block, rng.choice(widest)], kind="stable")]
+        at = int(len(order) * rng.uniform(0.4, 0.6))
+        waiting += [order[:at], order[at:]]
+
+
+def squared_gaps(y: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of a small block."""
+    if y.size < 20_000:
+        return ((y[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)
     square = (y**2).sum(axis=1)
     return np.maximum(square[:, None] + square[None, :] - 2 * y @ y.T, 0.0)
 
