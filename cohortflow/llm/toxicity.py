@@ -1,20 +1,25 @@
 """Toxicity: noisy-channel deobfuscation, then a lexicon and boosted trees over the restored words.
 
-1. A character trigram model is counted over the words of all documents.
+1. The words of all documents are counted in a table that grows with them. A character trigram model comes
+   from the whole table; the words that are common in it are taken as they are.
 2. A word that does not look like one (digits or marks inside, letters drawn out or spaced out) is seen
    as a noisy copy of the word its author meant. Viterbi search finds the likeliest word in the lattice
-   of readings of its characters, under the character model and the costs of the channel.
+   of readings of its characters, under the character model and the costs of the channel. In a run of
+   spaced characters a second Viterbi pass decides which blanks end a word: common words cost what their
+   counts say, all others what their characters say.
 3. The restored words are looked up in a lexicon of words and word beginnings that mark toxic
    documents, learned from a bounded sample of labelled ones, and trees score what the lookups add up to.
 
-Texts are read where they lie; only counts over a fixed alphabet and the sample's features are gathered.
+Texts are read where they lie; gathered are trigram counts, common words (a bounded number, as each makes up
+a fixed share of all) and the sample's features. Most words are no copy of any entry of the lexicon however
+they are read, which their first letters tell; the lattice is built for the others.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Container, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm import trees
 from cohortflow.llm.common import pick, read, uniform
 from cohortflow.llm.quality import TRAIN_DOCS, blocks, labelled, remainder, rows_of
+from cohortflow.session import stage
 
 #: Symbols of the character model: a word's edge, a to z, and any other letter.
 EDGE, OTHER, SYMBOLS = 0, 27, 28
@@ -35,9 +41,12 @@ READINGS = {
 }
 #: Costs of the channel (negative logarithms): a disguised letter, a mark left out, one letter of a run dropped.
 DISGUISED, SKIPPED, DROPPED = 0.7, 8.0, 1.0
+COMMON = 100_000  #: a common word is one in so many words at least, so there are no more common words than that
+RARE, LONGEST = 2.0, 32  #: what a word costs more that is spelt by its characters, and its letters at most
 SPACED = 4  #: single characters in a row that are read as one word
 _SPLIT_UP = re.compile(r"\w(?:[._*~-]\w){3,}", re.UNICODE)
 _DOUBLED = re.compile(r"(.)\1", re.DOTALL)
+_REPEATS = re.compile(r"(.)\1+", re.DOTALL)
 _INSIDE = re.compile(r"(?<=\w)[._*~-]+(?=\w)", re.UNICODE)
 _DRAWN_OUT = re.compile(r"(.)\1\1", re.DOTALL)
 _EDGES = "\"'`.,;:?)]}>%&^~_-=…"
@@ -59,22 +68,47 @@ def _symbols(text: str) -> np.ndarray:
     return out
 
 
+def count_words(docs: DataFrame) -> DataFrame:
+    """``word, n``: how often each lower-case word occurs in all texts; written, as it grows with them."""
+    words = pick(docs, "text").select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+    return stage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "toxicity-words")
+
+
+def common_words(words: DataFrame) -> dict[str, float]:
+    """Words of letters that make up one part in ``COMMON`` of all words at least, which ``COMMON`` words at most do.
+
+    Their values are negative log probabilities.
+    """
+    total = words.agg(F.sum("n")).first()[0] or 0
+    common = words.where((F.col("n") * COMMON >= total) & (F.col("n") >= SUPPORT))
+    common = common.where(F.col("word").rlike(r"^\p{L}+$"))
+    return {r["word"]: float(np.log(total / r["n"])) for r in common.select("word", "n").collect()}
+
+
 def count_characters(docs: DataFrame) -> np.ndarray:
-    """Trigram counts over all texts, ``SYMBOLS`` cubed; what a task gathers is bounded by the alphabet."""
+    """Trigram counts over all texts, ``SYMBOLS`` cubed."""
+    return characters_of(count_words(docs))
+
+
+def characters_of(words: DataFrame) -> np.ndarray:
+    """Trigram counts over ``words (word, n)``; what a task gathers is bounded by the alphabet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**3, np.int64)
+        total = np.zeros(SYMBOLS**3)
         for batch in batches:
-            for text in batch.column(0):  # one text at a time
-                s = _symbols(f"  {(text.as_py() or '').lower()}  ")
+            for piece in blocks(batch, "word"):
+                held, times = piece.column("word").to_pylist(), piece.column("n").to_numpy()
+                s = _symbols(f"  {' '.join(held)} ")
+                weights = np.repeat(times, [len(w) + 1 for w in held])  # a word's letters and the blank behind it
                 a, b, c = s[:-2], s[1:-1], s[2:]
                 a = np.where(b == EDGE, EDGE, a)  # what a word begins with does not depend on the word before
                 whole = (a >= 0) & (b >= 0) & (c >= 0) & ((b > 0) | (c > 0))
-                total += np.bincount((a * SYMBOLS + b)[whole] * SYMBOLS + c[whole], minlength=SYMBOLS**3)
+                at = (a * SYMBOLS + b)[whole] * SYMBOLS + c[whole]
+                total += np.bincount(at, weights=weights[whole], minlength=SYMBOLS**3)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], names=["at", "n"])
 
-    parts = pick(docs, "text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    parts = words.select("word", "n").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     counts = np.zeros(SYMBOLS**3)
     for row in parts.collect():
         counts[row["at"]] = row["n"]
@@ -132,9 +166,11 @@ def viterbi(word: str, costs: np.ndarray) -> str:
     return "".join(reversed(letters))
 
 
-def restore_word(word: str, costs: np.ndarray) -> str:
-    """A lower-case word as its author meant it: itself, unless it looks disguised."""
+def restore_word(word: str, costs: np.ndarray, common: Container[str] = ()) -> str:
+    """A lower-case word as its author meant it: itself, unless it looks disguised and is not ``common``."""
     core = word.strip(_EDGES).rstrip("!#$*%&")
+    if core in common:
+        return core
     if _SPLIT_UP.fullmatch(core):
         core = re.sub(r"[._*~-]", "", core)
     if core.isalpha():
@@ -160,19 +196,46 @@ def restore(text: str | None, read_word: Callable[[str], object], join: Callable
     return out
 
 
-def deobfuscate(text: str | None, costs: np.ndarray) -> str:
+def word_ends(letters: str, costs: np.ndarray, common: dict[str, float]) -> list[str]:
+    """The likeliest words that ``letters`` consist of; words that are not common have ``LONGEST`` letters at most."""
+    symbols = [_symbol(ch) for ch in letters]
+    best = [(0.0, 0)] + [(np.inf, 0)] * len(letters)  # cost up to here, and where the last word begins
+    for i, (before, _) in enumerate(best[:-1]):
+        a = b = EDGE
+        spelt = RARE
+        for j in range(i, min(len(letters), i + LONGEST)):
+            spelt += costs[a, b, symbols[j]]
+            a, b = b, symbols[j]
+            price = before + min(common.get(letters[i : j + 1], np.inf), spelt + costs[a, b, EDGE])
+            if price < best[j + 1][0]:
+                best[j + 1] = (price, i)
+    out, at = [], len(letters)
+    while at:
+        out.append(letters[best[at][1] : at])
+        at = best[at][1]
+    return out[::-1]
+
+
+def restore_run(run: str, costs: np.ndarray, common: dict[str, float]) -> str:
+    """The words behind lower-case characters that were spaced out, one blank apart."""
+    return " ".join(word_ends(restore_word(run, costs), costs, common))
+
+
+def deobfuscate(text: str | None, costs: np.ndarray, common: dict[str, float]) -> str:
     """The restored text: lower-case words, one blank apart."""
-    return " ".join(restore(text, lambda w: restore_word(w, costs)))
+    return " ".join(restore(text, lambda w: restore_word(w, costs, common), lambda r: restore_run(r, costs, common)))
 
 
 def _beginnings(word: str) -> list[str]:
     return [word[:n] for n in range(3, min(len(word), 9))] + [f"{word}$"] if len(word) > 2 else []
 
 
-def readings(word: str, costs: np.ndarray) -> list[str]:
+def readings(word: str, costs: np.ndarray, common: Container[str] = ()) -> list[str]:
     """Other words that a lower-case word may be meant as: without marks inside it, or without doubled letters."""
     core = word.strip(_EDGES).rstrip("!#$*%&")
     out = []
+    if core in common:
+        return out
     joined = _INSIDE.sub("", core)
     if joined != core and any(ch.isalpha() for ch in joined):
         out.append(restore_word(joined, costs))
@@ -186,38 +249,64 @@ def _sure(entries: list[str]) -> list[str]:
     return [e for e in entries if e.endswith("$") or len(e) >= SURE]
 
 
+#: What is found for a word that no entry speaks of: no weight, not restored.
+NOTHING = (0.0, False)
+
+
 @dataclass
 class Model:
-    """What scoring needs: character costs, lexicon weights, trees."""
+    """What scoring needs: character costs, lexicon weights, trees, common words."""
 
     costs: np.ndarray
     weights: dict[str, float]
     forest: trees.Forest
+    common: dict[str, float] = field(default_factory=dict)
     memo: dict[str, tuple[float, bool]] = field(default_factory=dict)
     longest: int = field(init=False)  #: letters of the longest entry
+    stems: frozenset[str] = field(init=False)  #: all entries without repeats of a letter
 
     def __post_init__(self) -> None:
         self.longest = max((len(entry.rstrip("$")) for entry in self.weights), default=0)
+        self.stems = frozenset(_REPEATS.sub(r"\1", entry) for entry in self.weights)
+
+    def _hopeless(self, word: str) -> bool:
+        """Whether the word is of letters and no entry can match it, whatever repeats are dropped.
+
+        Dropping repeats leaves the word without any repeat unchanged, so an entry that matches a
+        reading begins, without repeats, like the word without repeats.
+        """
+        core = word.strip(_EDGES).rstrip("!#$*%&")
+        if not core.isalpha():
+            return not core
+        start = _REPEATS.sub(r"\1", core)
+        return f"{start}$" not in self.stems and self.stems.isdisjoint([start[:n] for n in range(1, 9)])
 
     def look_up(self, word: str) -> tuple[float, bool]:
         found = self.memo.get(word)
         if found is None:
             if len(self.memo) >= _MEMO:
                 self.memo.clear()
-            meant = restore_word(word, self.costs)
-            weight = max((self.weights.get(b, 0.0) for b in _beginnings(meant)), default=0.0)
-            restored = weight > 0 and meant not in word
-            for other in readings(word, self.costs):
-                high = max((self.weights.get(b, 0.0) for b in _sure(_beginnings(other))), default=0.0)
-                if high > weight:
-                    weight, restored = high, True
-            found = self.memo[word] = (weight, restored)
+            found = self.memo[word] = NOTHING if self._hopeless(word) else self._look_up(word)
         return found
 
+    def _look_up(self, word: str) -> tuple[float, bool]:
+        meant = restore_word(word, self.costs, self.common)
+        weight = max((self.weights.get(b, 0.0) for b in _beginnings(meant)), default=0.0)
+        restored = weight > 0 and meant not in word
+        for other in readings(word, self.costs, self.common):
+            high = max((self.weights.get(b, 0.0) for b in _sure(_beginnings(other))), default=0.0)
+            if high > weight:
+                weight, restored = high, True
+        return (weight, restored) if weight > 0 else NOTHING
+
     def look_up_run(self, run: str) -> tuple[float, bool]:
-        """Of single characters put together: words may begin and end at any of them."""
+        """Of single characters put together: the words that the lattice ends, and words that begin and end at any character."""
         weight, restored = self.look_up(run)
         meant = restore_word(run, self.costs)
+        for word in word_ends(meant, self.costs, self.common):
+            high = max((self.weights.get(b, 0.0) for b in _sure(_beginnings(word))), default=0.0)
+            if high > weight:
+                weight, restored = high, True
         for a in range(len(meant) - 2):
             for b in range(a + 3, min(len(meant), a + self.longest) + 1):
                 part = meant[a:b]
@@ -230,15 +319,22 @@ class Model:
         return np.array([self._statistics(t) for t in texts]).reshape(len(texts), len(STATISTICS))
 
     def _statistics(self, text: str | None) -> list[float]:
-        found = restore(text, self.look_up, self.look_up_run)
+        words = (text or "").lower().split()
+        alone = b"".join([b"1" if len(w) == 1 else b"0" for w in words])
+        if b"1" * SPACED in alone:  # a run of spaced characters
+            found = restore(text, self.look_up, self.look_up_run)
+        else:
+            memo, look_up = self.memo, self.look_up
+            found = [memo[w] if w in memo else look_up(w) for w in words]
         if not found:
             return [0.0] * len(STATISTICS)
-        hits = [w for w, _ in found if w > 0]
+        hit = [f for f in found if f[0] > 0]
+        hits = [w for w, _ in hit]
         strong = sum(w >= 2.5 for w in hits)
         n = len(found)
         return [
             float(np.log1p(n)), float(strong), float(len(hits)), strong / n, len(hits) / n,
-            sum(hits) / n, max(hits, default=0.0), float(sum(r for _, r in found)),
+            sum(hits) / n, max(hits, default=0.0), float(sum(r for _, r in hit)),
         ]
 
     def score(self, texts: Sequence[str | None]) -> np.ndarray:
@@ -265,7 +361,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = TRAIN_
     The sample is cut in two: the trees see each half through the other half's lexicon. Without
     labelled documents the lexicon is empty and the score constant.
     """
-    costs = character_costs(count_characters(docs))
+    words = count_words(docs)
+    costs, common = character_costs(characters_of(words)), common_words(words)
     sample = labelled(docs, labels, "toxic", learn, limit)
     sample = sample.withColumn("half", (uniform(F.col("doc_id"), seed="half") < 0.5).cast("int"))
     sample = sample.select("doc_id", "half", F.col("label").cast("int").alias("label"), "text")
@@ -277,7 +374,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = TRAIN_
             if word not in memo:
                 if len(memo) >= _MEMO:
                     memo.clear()
-                memo[word] = restore_word(word, costs)
+                memo[word] = restore_word(word, costs, common)
             return memo[word]
 
         for batch in batches:
@@ -305,7 +402,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = TRAIN_
         _weights(best, "a0", "a1", t[0, 0], t[0, 1]),
     ]
     blank = trees.constant(0.5)
-    seen_by = [Model(costs, w, blank) for w in by_half]
+    seen_by = [Model(costs, w, blank, common) for w in by_half]
     found = []
     for half in (0, 1):
         part = sample.where(F.col("half") == half).select("doc_id", "label", "text")
@@ -313,7 +410,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = TRAIN_
     rows = np.concatenate([f[["label", *STATISTICS]].sort_values(["label", *STATISTICS]).to_numpy(float) for f in found])
     forest = trees.fit(rows[:, 1:], rows[:, 0], trees=40, depth=3)
     weights = _weights(best, "n0", "n1", t[0, 0] + t[1, 0], t[0, 1] + t[1, 1])
-    return Model(costs, weights, forest)
+    return Model(costs, weights, forest, common)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:

@@ -14,6 +14,11 @@ def costs(spark):
     return toxicity.character_costs(toxicity.count_characters(read(spark, SF, "documents")))
 
 
+@pytest.fixture(scope="module")
+def common(spark):
+    return toxicity.common_words(toxicity.count_words(read(spark, SF, "documents")))
+
+
 def test_character_counts(spark):
     docs = spark.createDataFrame([("Ab ab",), (None,), ("",), ("a1b é",)], "text string")
     counts = toxicity.count_characters(docs)
@@ -36,10 +41,50 @@ def test_restored_words(costs, seen, meant):
     assert toxicity.restore_word(seen, costs) == meant
 
 
-def test_spaced_letters(costs):
-    assert toxicity.deobfuscate("you  are an I D I O T I say", costs) == "you are an idioti say"
-    assert toxicity.deobfuscate("a b c", costs) == "a b c"
-    assert toxicity.deobfuscate(None, costs) == ""
+def test_spaced_letters(costs, common):
+    assert toxicity.deobfuscate("you  are an I D I O T I say", costs, common) == "you are an idioti say"
+    assert toxicity.deobfuscate("a b c", costs, common) == "a b c"
+    assert toxicity.deobfuscate(None, costs, common) == ""
+
+
+def test_word_ends_are_the_cheapest(costs, common):
+    """Against every way to cut short runs."""
+
+    def cost(words):
+        total = 0.0
+        for word in words.split():
+            spelt, a, b = toxicity.RARE, toxicity.EDGE, toxicity.EDGE
+            for s in [*map(toxicity._symbol, word), toxicity.EDGE]:
+                spelt += costs[a, b, s]
+                a, b = b, s
+            total += min(spelt, common.get(word, spelt))
+        return total
+
+    for run in ("idioti", "isthis", "abook", "a"):
+        cuts = [run[0]]
+        for ch in run[1:]:
+            cuts = [c + blank + ch for c in cuts for blank in ("", " ")]
+        assert abs(cost(toxicity.restore_run(run, costs, common)) - min(map(cost, cuts))) < 1e-9
+    assert toxicity.restore_run("1d10t", costs, common) == "idiot"
+    assert toxicity.word_ends("", costs, common) == []
+
+
+def test_words_without_hope_have_no_weight(costs):
+    """The shortcut against the whole search, for words near the lexicon and far from it."""
+    weights = {"loser$": 3.0, "mor": 2.0, "idiot$": 3.0, "assess$": 1.5, "aab": 2.5, "noo$": 1.0}
+    model = toxicity.Model(costs, weights, toxicity.trees.constant(0.5))
+    words = ["loser", "losser", "lloserr", "losers", "moor", "mmoorr", "moral", "m0ral", "aaab", "ab", "abc", "aabb", "noooo"]
+    words += ["no", "asses", "asess", "hello", "2024", "...", "", "idi", "idiott!", "(idiot)", "straße", "éé", "a1b2"]
+    for word in words:
+        assert model.look_up(word) == model._look_up(word), word
+
+
+def test_common_words_are_taken_as_they_are(spark, costs):
+    docs = spark.createDataFrame([("all " * 5 + "alll x1 the the the a1",), (None,), ("",)], "text string")
+    words = toxicity.count_words(docs)
+    assert {r["word"]: r["n"] for r in words.collect()} == {"all": 5, "alll": 1, "x1": 1, "the": 3, "a1": 1}
+    assert toxicity.common_words(words) == {"all": np.log(11 / 5), "the": np.log(11 / 3)}
+    assert toxicity.readings("pass", costs) and not toxicity.readings("pass", costs, {"pass": 1.0})
 
 
 def test_viterbi_finds_the_cheapest_path(costs):
