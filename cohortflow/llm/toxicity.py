@@ -200,9 +200,8 @@ def word_ends(letters: str, costs: np.ndarray, common: dict[str, float]) -> list
     """The likeliest words that ``letters`` consist of; words that are not common have ``LONGEST`` letters at most."""
     symbols = [_symbol(ch) for ch in letters]
     best = [(0.0, 0)] + [(np.inf, 0)] * len(letters)  # cost up to here, and where the last word begins
-    for i, (before, _) in enumerate(best[:-1]):
-        a = b = EDGE
-        spelt = RARE
+    for i in range(len(letters)):
+        before, a, b, spelt = best[i][0], EDGE, EDGE, RARE
         for j in range(i, min(len(letters), i + LONGEST)):
             spelt += costs[a, b, symbols[j]]
             a, b = b, symbols[j]

@@ -42,7 +42,7 @@ def test_restored_words(costs, seen, meant):
 
 
 def test_spaced_letters(costs, common):
-    assert toxicity.deobfuscate("you  are an I D I O T I say", costs, common) == "you are an idioti say"
+    assert toxicity.deobfuscate("you  are an I D I O T I say", costs, common) == "you are an idiot i say"
     assert toxicity.deobfuscate("a b c", costs, common) == "a b c"
     assert toxicity.deobfuscate(None, costs, common) == ""
 
