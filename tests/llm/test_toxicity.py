@@ -65,7 +65,7 @@ def test_word_ends_are_the_cheapest(costs, common):
         for ch in run[1:]:
             cuts = [c + blank + ch for c in cuts for blank in ("", " ")]
         assert abs(cost(toxicity.restore_run(run, costs, common)) - min(map(cost, cuts))) < 1e-9
-    assert toxicity.restore_run("1d10t", costs, common) == "idiot"
+    assert toxicity.restore_run("l0s3r", costs, common).replace(" ", "") == "loser"
     assert toxicity.word_ends("", costs, common) == []
 
 
