@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PAIRS_PER_CHUNK = 9
 MAX_CHUNKS = 5
 ROWS_PER_BUCKET = 2_000_000
+NO_SPREAD = 1e-12  #: share of the squares that rounding may leave
 
 
 def correlation_report(
@@ -72,14 +75,11 @@ def _pearson(numbers: DataFrame, pairs: list[tuple[int, int]], _: int) -> DataFr
     """Few pairs: one row of aggregates per chunk, each chunk a scan of its own columns.
 
     A chunk keeps its buffers below the 100 fields that whole-stage code generation takes
-    (spark.sql.codegen.maxFields). Many pairs would mean many scans, so they are laid out as rows of
-    a single scan and aggregated per pair.
+    (spark.sql.codegen.maxFields). Many pairs would mean many scans; they come from sums of products
+    over blocks of rows.
     """
     if len(pairs) > MAX_CHUNKS * PAIRS_PER_CHUNK:
-        cov, vx, vy = F.covar_pop("x", "y"), F.var_pop("x"), F.var_pop("y")
-        long = _pair_rows(numbers, pairs).groupBy("pair")
-        measured = long.agg(F.try_divide(cov, F.sqrt(vx * vy)).alias("r"))
-        return _every_pair(measured, pairs)
+        return _every_pair(_gram(numbers, pairs), pairs)
     parts = []
     for start in range(0, len(pairs), PAIRS_PER_CHUNK):
         structs = []
@@ -94,6 +94,47 @@ def _pearson(numbers: DataFrame, pairs: list[tuple[int, int]], _: int) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+def _gram(numbers: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+    """``pair, r`` from matrix products of row blocks, with a mask for the values present.
+
+    Values are counted from their column's mean, so that sums of squares lose no digits. A task holds
+    six numbers per pair whatever it reads, and writes them once. A spread that rounding alone would
+    leave counts as none.
+    """
+    names = numbers.columns
+    means = numbers.agg(*[F.avg(c).alias(c) for c in names]).first()
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    left, right = (np.array(side) for side in zip(*pairs, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = len(shift)
+        n, sx, sxx, sxy = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - shift
+            there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            n += there.T @ there
+            sx += x.T @ there  # at (i, j): the sum of column i where column j is present
+            sxx += (x * x).T @ there
+            sxy += x.T @ x
+        sums = [n[left, right], sx[left, right], sx[right, left], sxx[left, right], sxx[right, left], sxy[left, right]]
+        arrays = [pa.array(np.arange(len(left), dtype=np.int32)), *map(pa.array, sums)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["pair", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = numbers.mapInArrow(run, "pair int, n double, x double, y double, xx double, yy double, xy double")
+    total = parts.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+    def spread(at: str) -> Column:
+        squares = F.col(f"{at}{at}")
+        rest = squares - F.try_divide(F.col(at) * F.col(at), F.col("n"))
+        return F.when((rest <= NO_SPREAD * squares) & (squares < float("inf")), 0.0).otherwise(rest)
+
+    shared = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    r = F.try_divide(shared, F.sqrt(spread("x")) * F.sqrt(spread("y")))
+    one = F.when(F.isnan("r"), F.col("r")).when(F.col("r") > 1, 1.0).when(F.col("r") < -1, -1.0)
+    return total.select("pair", r.alias("r")).select("pair", one.otherwise(F.col("r")).alias("r"))
+
+
 def _pair_rows(numbers: DataFrame, pairs, buckets: dict[str, Column] | None = None) -> DataFrame:
     """One row per table row and column pair where both values are present."""
     structs = []

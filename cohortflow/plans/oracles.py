@@ -86,6 +86,7 @@ def _fill(max_carry: int | None) -> str:
     return f"""
     WITH given AS (
         SELECT user_id, event_id, event_type <> 'error' AS attended, value AS v,
+               CASE WHEN event_type <> 'error' THEN ts END AS attended_at,
                CASE WHEN event_type = 'purchase' THEN value END AS p,
                row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
         FROM events),
@@ -99,7 +100,7 @@ def _fill(max_carry: int | None) -> str:
 
 def _filled(max_carry: int | None) -> str:
     return f"""{_fill(max_carry)}
-    SELECT user_id, event_id, p_fill AS purchase_value, v_fill AS value, false AS is_placeholder FROM filled"""
+    SELECT user_id, event_id, attended_at, p_fill AS purchase_value, v_fill AS value, false AS is_placeholder FROM filled"""
 
 
 def _fill_report() -> str:
@@ -162,6 +163,9 @@ def _inside(facts: str, test: str, columns=MEASURES) -> str:
 NUMERIC_LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
 ]
+WIDE_LINES = """(SELECT *, net * (1 + l_tax) AS charge, CASE WHEN l_linestatus = 'F' THEN net END AS billed
+    FROM (SELECT *, l_extendedprice * (1 - l_discount) AS net, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS returned
+          FROM lineitem))"""
 GAPPY = """(SELECT l_quantity, l_extendedprice, CASE WHEN l_returnflag <> 'N' THEN l_discount END AS discount,
     l_linenumber FROM lineitem)"""
 
@@ -173,10 +177,10 @@ def _report(pairs_sql: str) -> str:
     FROM ({pairs_sql})"""
 
 
-def _pearson(columns: list[str]) -> str:
+def _pearson(columns: list[str], table: str = "lineitem") -> str:
     return _report(
         " UNION ALL ".join(
-            f"SELECT '{a}' AS column_a, '{b}' AS column_b, {_rounded(f'corr({a}, {b})', 4)} AS correlation FROM lineitem"
+            f"SELECT '{a}' AS column_a, '{b}' AS column_b, {_rounded(f'corr({a}, {b})', 4)} AS correlation FROM {table}"
             for a, b in combinations(columns, 2)
         )
     )
@@ -335,6 +339,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT count(*) AS n, count(*) FILTER (WHERE value BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)) AS kept
               FROM events, (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events))""",
     "corr_pearson": _pearson(NUMERIC_LINE_COLUMNS),
+    "corr_pearson_wide": _pearson([*NUMERIC_LINE_COLUMNS, "net", "charge", "returned", "billed"], WIDE_LINES),
     "corr_top": f"""SELECT * FROM ({_pearson(NUMERIC_LINE_COLUMNS)})
         ORDER BY abs(correlation) DESC NULLS LAST, column_a, column_b LIMIT 5""",
     "corr_spearman": _spearman(["l_quantity", "l_extendedprice", "discount", "l_linenumber"]),

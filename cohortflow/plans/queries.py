@@ -119,11 +119,11 @@ def _event_fill(spark: SparkSession, sf_dir: str, **config) -> LocfResult:
 
 
 def locf_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _event_fill(spark, sf_dir).filled.drop("attended_at")
+    return _event_fill(spark, sf_dir).filled
 
 
 def locf_max_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _event_fill(spark, sf_dir, max_carry=2).filled.drop("attended_at")
+    return _event_fill(spark, sf_dir, max_carry=2).filled
 
 
 def locf_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +234,19 @@ def corr_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correlation_report(load(spark, sf_dir, "lineitem"))
 
 
+def corr_pearson_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve columns, two of them with gaps: 66 pairs."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = load(spark, sf_dir, "lineitem").select(
+        "*",
+        net.alias("net"),
+        (net * (1 + F.col("l_tax"))).alias("charge"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).alias("returned"),
+        F.when(F.col("l_linestatus") == "F", net).alias("billed"),
+    )
+    return correlation_report(lines)
+
+
 def corr_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_correlations(correlation_report(load(spark, sf_dir, "lineitem")))
 
@@ -685,6 +698,7 @@ QUERIES: dict[str, Query] = {
         outlier_isolation_forest,
         outlier_forest_facts,
         corr_pearson,
+        corr_pearson_wide,
         corr_top,
         corr_spearman,
         corr_kendall,

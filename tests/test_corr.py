@@ -118,3 +118,33 @@ def test_errors(spark):
         correlation_report(df)
     with pytest.raises(ValueError, match="Unknown method"):
         correlation_report(df.withColumn("b", F.lit(1)), "phi")
+
+
+def test_many_columns_against_each_pair(spark):
+    """200 columns with gaps, an offset of 1e6 and a flat one; every pair over the rows where both are present."""
+    rng = np.random.default_rng(11)
+    common = rng.normal(size=(300, 1))
+    x = rng.normal(size=(300, 200)) + common * rng.random(200) + np.where(np.arange(200) % 5 == 0, 1e6, 0.0)
+    x[:, 7] = 0.1
+    x[rng.random(x.shape) < 0.15] = np.nan
+    x[:150, 8], x[150:, 9] = np.nan, np.nan  # no row in common
+    wide = frame(spark, pd.DataFrame(x, columns=[f"v{i}" for i in range(200)]))
+    pairs = [(i, j) for i in range(200) for j in range(i + 1, 200)]
+    numbers = wide.toDF(*[f"c{i}" for i in range(200)])
+    found = {r["pair"]: r["r"] for r in corr._gram(numbers, pairs).collect()}
+    assert len(found) == len(pairs)
+    for k, (i, j) in enumerate(pairs):
+        both = ~(np.isnan(x[:, i]) | np.isnan(x[:, j]))
+        if 7 in (i, j) or not both.any():
+            assert found[k] is None
+        else:
+            assert abs(found[k] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+
+
+def test_many_columns_are_not_laid_out_as_pairs(spark):
+    names = ", ".join(f"rand({i}) AS v{i}" for i in range(12))
+    wide = spark.sql(f"SELECT {names} FROM range(50)")
+    plan = correlation_report(wide)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+    empty = correlation_report(wide.where("v0 < 0"))
+    assert empty.count() == 66 and empty.where("correlation IS NOT NULL").count() == 0
