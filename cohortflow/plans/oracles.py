@@ -32,7 +32,13 @@ DAYS = "\n    UNION ALL ".join(
 )
 
 
-def _visits(schedule: str, score: str, per_year: str = "365.25", promote: tuple[float, float] | None = None) -> str:
+TEXT_DATED = """(SELECT o_custkey, o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate, o_totalprice
+    FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT')"""
+
+
+def _visits(
+    schedule: str, score: str, per_year: str = "365.25", promote: tuple[float, float] | None = None, table: str = "orders"
+) -> str:
     """CTEs sched, matched, ranked and flagged (all visits with won and promoted)."""
     promoted = "false"
     if promote:
@@ -47,7 +53,7 @@ def _visits(schedule: str, score: str, per_year: str = "365.25", promote: tuple[
         SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
                {_rounded(f'''((epoch_us(o_orderdate) - epoch_us(min(o_orderdate) OVER (PARTITION BY o_custkey)))
                 // 86400000000) / {per_year} :: DOUBLE''', 2)} AS years
-        FROM orders),
+        FROM {table}),
     steps AS (SELECT years, min(tp) AS tp FROM (SELECT DISTINCT years FROM timed) JOIN sched ON years BETWEEN low AND high
               GROUP BY years),
     matched AS (SELECT timed.*, s.tp, sched.centre, sched.ideal FROM timed LEFT JOIN steps s USING (years)
@@ -73,7 +79,7 @@ LATEST = _visits(ANNUAL, "-years")
 LATEST_BIENNIAL = _visits(BIENNIAL, "-years")
 
 
-def _fill(max_carry: int | None) -> str:
+def _fill(max_carry: int | None, value: str = "value") -> str:
     """CTE filled over events: per column the value, its valid seed and the fill."""
 
     def column(name: str) -> str:
@@ -85,7 +91,7 @@ def _fill(max_carry: int | None) -> str:
 
     return f"""
     WITH given AS (
-        SELECT user_id, event_id, event_type <> 'error' AS attended, value AS v,
+        SELECT user_id, event_id, event_type <> 'error' AS attended, {value} AS v,
                CASE WHEN event_type <> 'error' THEN ts END AS attended_at,
                CASE WHEN event_type = 'purchase' THEN value END AS p,
                row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
@@ -295,6 +301,7 @@ JOIN_AGGREGATE = sql_texts.TEXTS["sql_join_aggregate"][1]
 
 ORACLES: dict[str, str] = {
     "timepoint_annual": _timepoints(LATEST, 0.25),
+    "timepoint_text_dates": f"SELECT *, '  O ' AS project FROM ({_timepoints(_visits(ANNUAL, '-years', table=TEXT_DATED), 0.25)})",
     "timepoint_biennial_keep_all": _timepoints(_visits(BIENNIAL, "years"), 0.5, only_selected=False),
     "timepoint_explicit_days": _timepoints(_visits(DAYS, "abs(years - centre)", "1"), 60),
     "timepoint_promotion": _timepoints(_visits(BIENNIAL, "-years", promote=(1.49 * 0.5, 1.49)), 0.25, 2.0),
@@ -314,6 +321,12 @@ ORACLES: dict[str, str] = {
         FROM flagged""",
     "locf_filled": _filled(None),
     "locf_max_carry": _filled(2),
+    "locf_text_values": f"""{_fill(None, "CASE WHEN event_type <> 'click' THEN value END")}
+        SELECT user_id, event_id, attended_at, v_fill AS value, false AS is_placeholder FROM filled""",
+    "granted_limits": " UNION ALL ".join(
+        f"SELECT $${asked!r}$$ AS asked, {rows} AS \"rows\", {rows} AS held FROM orders"
+        for asked, rows in ((None, "count(*)"), ("", "count(*)"), (" 50 ", "least(50, count(*))"), (0, "count(*)"), (7, "least(7, count(*))"))
+    ),
     "locf_report": _fill_report(),
     "locf_full_grid": FULL_GRID,
     "asof_last_order": """

@@ -6,6 +6,8 @@ line items are measurements taken at an order.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import uuid
 from collections.abc import Callable
 
@@ -64,6 +66,27 @@ def timepoint_biennial_keep_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).timepoints
 
 
+def timepoint_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as text, some of them no dates, and a cohort written with blanks around it."""
+    day = F.when(F.col("o_orderpriority") == "1-URGENT", "not known").otherwise(F.date_format("o_orderdate", "dd.MM.yyyy"))
+    orders = load(spark, sf_dir, "orders").select(
+        "o_custkey",
+        "o_orderkey",
+        day.alias("o_orderdate"),
+        "o_totalprice",
+        F.concat(F.lit("  "), F.col("o_orderstatus"), F.lit(" ")).alias("project"),
+    )
+    return assign_timepoints(
+        orders,
+        participant_column="o_custkey",
+        date_column="o_orderdate",
+        date_format="dd.MM.yyyy",
+        cohort_column="project",
+        cohort_value=" O ",
+        tiebreak_columns=["o_orderkey"],
+    ).timepoints
+
+
 DAY_WINDOWS = [[0, 30], [60, 200], [201, 400], [500, 900], [901, 2500]]
 
 
@@ -126,6 +149,25 @@ def locf_max_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_fill(spark, sf_dir, max_carry=2).filled
 
 
+def locf_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values as text with blanks around them, those of clicks no numbers; the settings as JSON text."""
+    text = F.when(F.col("event_type") == "click", F.concat(F.lit("~"), F.col("value").cast("string")))
+    events = load(spark, sf_dir, "events").select(
+        "user_id",
+        "event_id",
+        F.when(F.col("event_type") != "error", F.col("ts")).alias("attended_at"),
+        text.otherwise(F.concat(F.lit(" "), F.col("value").cast("string"), F.lit("  "))).alias("value"),
+    )
+    return locf_fill(
+        events,
+        '{"value": {"ranges": [[1, 40], [60, 300]], "exclude_ranges": [[10, 12]]}}',
+        participant_column="user_id",
+        order_column="event_id",
+        attendance_column="attended_at",
+        emit_full_grid=False,
+    ).filled
+
+
 def locf_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_fill(spark, sf_dir, max_carry=2).fill_report
 
@@ -230,6 +272,19 @@ def outlier_forest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def granted_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a granted table delivers per row limit asked for, and how many of them the table holds."""
+    orders = load(spark, sf_dir, "orders")
+    orders.createOrReplaceTempView("limited_orders")
+    keys = orders.select("o_orderkey", F.lit(1).alias("held"))
+    parts = []
+    for asked in (None, "", " 50 ", 0, 7):
+        got = io.granted_table(spark, "limited_orders", asked).join(keys, "o_orderkey", "left")
+        counted = got.agg(F.count(F.lit(1)).alias("rows"), F.sum("held").alias("held"))
+        parts.append(counted.withColumn("asked", F.lit(repr(asked))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def corr_pearson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correlation_report(load(spark, sf_dir, "lineitem"))
 
@@ -684,6 +739,9 @@ QUERIES: dict[str, Query] = {
         timepoint_counters,
         locf_filled,
         locf_max_carry,
+        locf_text_values,
+        timepoint_text_dates,
+        granted_limits,
         locf_report,
         locf_full_grid,
         asof_last_order,
