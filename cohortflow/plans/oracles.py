@@ -365,6 +365,9 @@ ORACLES: dict[str, str] = {
     "wide_all_stacked": f"""{_long('101, 102, 103, 104')}
         SELECT dataset, "Cohort", {IDENTITY}, {_cells(ALL_FIELDS, set(ALL_FIELDS) - {'priority'})}
         FROM best GROUP BY dataset, "Cohort", {IDENTITY}""",
+    "export_left_out": """
+        SELECT '105' AS skipped_cohorts, count(*) FILTER (WHERE c_acctbal > 4000 AND least(c_nationkey + 1, 12) IN (2, 4, 6, 9, 11)) AS impossible_births
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey BETWEEN 0 AND 3""",
     "numeric_coercion": f"""
         SELECT event_type, field_name, count(v) AS present,
                count(v) > 0 AND count(v) = count(*) FILTER (WHERE regexp_full_match(v, {NUMBER})) AS "numeric"

@@ -29,7 +29,7 @@ from cohortflow.operators.relational import (
     union_widen,
 )
 from cohortflow.operators.timepoint import TimepointResult, assign_timepoints
-from cohortflow.operators.wide import coerce_numeric, numeric_fields, wide_stacked, wide_tables
+from cohortflow.operators.wide import coerce_numeric, export_notes, numeric_fields, wide_stacked, wide_tables
 from cohortflow.plans import sql_texts
 from cohortflow.plans.sql_step import sql_transform
 from cohortflow.session import shared_folder, stage
@@ -543,6 +543,12 @@ def view_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Granted cohorts that are not active, as text, and persons whose birth date does not exist."""
+    notes = export_notes(clinical_tables(spark, sf_dir), [101, 102, 103, 104, 105], ORG)
+    return notes.withColumn("skipped_cohorts", F.concat_ws(",", F.col("skipped_cohorts").cast("array<string>")))
+
+
 def catalog_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.requests_frame(request_documents(spark, sf_dir))
 
@@ -763,6 +769,7 @@ QUERIES: dict[str, Query] = {
         wide_items,
         wide_one_cohort,
         wide_all_stacked,
+        export_left_out,
         numeric_coercion,
         coerced_columns,
         diagonal_union,
