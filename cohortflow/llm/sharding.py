@@ -80,16 +80,18 @@ def levels(rows: DataFrame, column: str, bits: int = BITS) -> DataFrame:
     return counts.select("value", F.floor(middle * (1 << bits)).cast("int").alias("level"))
 
 
-def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
+def shards(docs: DataFrame, count: int = SHARDS, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id, size, text_crc32, source, lang, shard, slot`` per row of ``docs``.
 
     ``size`` is the text's UTF-8 bytes plus 1. Shards are runs of the curve whose row counts differ by
     one at most; ``slot`` numbers a shard's rows without gaps. Null texts have size 1 and the checksum
     of an empty text; null languages and sources are the last level. Repeated rows get slots of their
-    own. With fewer rows than shards some shards stay empty; an empty table gives an empty result.
+    own. With fewer rows than shards some shards stay empty; an empty table gives an empty result. The
+    columns in ``keep`` stay beside these.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = pick(docs, "doc_id", "source", "lang", "text").select(
+    rows = pick(docs, "doc_id", "source", "lang", "text", *keep).select(
+        *keep,
         "doc_id",
         "source",
         "lang",
@@ -134,15 +136,27 @@ def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
         "lang",
         F.col("shard").cast("int").alias("shard"),
         (F.col("number") - first).cast("long").alias("slot"),
+        *keep,
     )
 
 
 def write_shards(docs: DataFrame, path: str, count: int = SHARDS) -> None:
-    """The rows of ``docs`` under ``path/shard=K/``, each shard in slot order; ids must be unique."""
-    found = shards(docs, count).select(F.col("doc_id").alias("shard_id"), F.col("shard"), F.col("slot"))
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("shard_id"))).drop("shard_id")
-    ordered = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot")
-    ordered.write.partitionBy("shard").parquet(path)
+    """The rows of ``docs`` under ``path/shard=K/``, each shard in slot order.
+
+    Every row is written once, repeated ids and rows too. A column that is named like the folder, or
+    like an earlier column (case aside), gets an underscore for each such name before it.
+    """
+    names: list[str] = []
+    for name in docs.columns:
+        while name.lower() in {"shard", *(n.lower() for n in names)}:
+            name += "_"
+        names.append(name)
+    given = F.struct(*[F.col(f"c{i}").alias(name) for i, name in enumerate(names)])
+    whole = docs.toDF(*[f"c{i}" for i in range(len(names))]).select(given.alias("given"))
+    own = {c: F.col("given").getField(names[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text", "source", "lang")}
+    placed = shards(whole.select(*own.values(), "given"), count, ["given"])
+    ordered = placed.select("given", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    ordered.select("given.*", "shard").write.partitionBy("shard").parquet(path)
 
 
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,3 +57,15 @@ def test_written_shards(spark, tables, tmp_path):
     sharding.write_shards(docs, f"{tmp_path}/shards")
     back = spark.read.parquet(f"{tmp_path}/shards")
     assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [125] * 8
+
+
+def test_written_rows_repeat_and_names_clash(spark, tmp_path):
+    """Repeated ids and rows are written once each; columns named like the folder keep their values."""
+    rows = [(1, "a", "s", "en", 7, 8, 9), (1, "a", "s", "en", 7, 8, 9), (1, "b", "s", None, 1, 2, 3), (None, None, None, "en", 4, 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, shard int, slot int, Shard int")
+    sharding.write_shards(docs, f"{tmp_path}/clash", 2)
+    back = spark.read.parquet(f"{tmp_path}/clash")
+    assert back.columns == ["doc_id", "text", "source", "lang", "shard_", "slot", "Shard__", "shard"]
+    found = sorted([tuple(r)[:7] for r in back.collect()], key=repr)
+    assert found == sorted(rows, key=repr)
+    assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [2, 2]
