@@ -121,26 +121,29 @@ def _by_forest(df: DataFrame, names: list[str], share: float, direct_rows: int)
 def _grow_forest(numbers: DataFrame, rows: int) -> pd.DataFrame:
     """Grow every tree in a task of its own, from SAMPLE rows that hashes of the values choose.
 
-    Equal rows are counted first. For each tree a row's copies pass a threshold that lets through
-    about 4 * SAMPLE rows, and the SAMPLE lowest hashes of those are taken. So each tree draws from
-    the whole table, and the draw depends on the values alone, not on partitions or their order. The
-    nodes returned are at most 2 * SAMPLE - 1 per tree.
+    Equal rows are counted first. One hash per different row thins the table to a pool of about
+    4 * SAMPLE * TREES copies. Hashes then name the trees that a copy of the pool is dealt to, so that about
+    4 * SAMPLE of them reach a tree, and the SAMPLE of those with the lowest hashes are taken. So each
+    tree draws from the whole table, and the draw depends on the values alone, not on partitions or
+    their order. The nodes returned are at most 2 * SAMPLE - 1 per tree.
     """
     names = numbers.columns
-    share = min(1.0, 4 * SAMPLE / rows)
+    pool = min(rows, 4 * SAMPLE * TREES)
     counted = numbers.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
 
-    def draw(tree: Column, copy: Column | None = None) -> Column:
-        parts = [F.lit(SEED), tree, *[F.col(c) for c in names], *([] if copy is None else [copy])]
-        return (F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    def draw(*parts: Column) -> Column:
+        return (F.pmod(F.xxhash64(F.lit(SEED), *parts, *[F.col(c) for c in names]), F.lit(1 << 52)) + 0.5) / float(1 << 52)
 
     # expected copies, rounded up or down by the hash: a value that fills the table is not drawn whole
-    trees = F.sequence(F.lit(0), F.lit(TREES - 1))
-    passed = F.transform(
-        trees, lambda t: F.struct(t.alias("tree"), F.floor(F.col("_n") * share + draw(t)).cast("int").alias("copies"))
-    )
-    drawn = counted.select(*names, F.explode(F.filter(passed, lambda p: p["copies"] > 0)).alias("_p"))
-    drawn = drawn.select(*names, F.col("_p.tree").alias("tree"), F.explode(F.sequence(F.lit(1), F.col("_p.copies"))).alias("_copy"))
+    pooled = counted.withColumn("_n", F.floor(F.col("_n") * (pool / rows) + draw(F.lit(-1)))).filter(F.col("_n") > 0)
+    drawn = pooled.select(*names, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
+    # a start and a step without a common divisor with TREES: the trees of a copy are all different
+    steps = F.array(*[F.lit(k) for k in range(1, TREES) if math.gcd(k, TREES) == 1])
+    trees = F.floor(TREES * min(1.0, 4 * SAMPLE / pool) + draw(F.lit(-2), F.col("_copy"))).cast("int")
+    first, step = (F.pmod(F.xxhash64(F.lit(SEED), F.lit(k), "_copy", *names), n) for k, n in ((-3, F.lit(TREES)), (-4, F.size(steps))))
+    dealt = drawn.withColumns({"_trees": trees, "_first": first, "_step": F.get(steps, step.cast("int"))}).filter("_trees > 0")
+    dealt = dealt.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_trees"))))
+    drawn = dealt.withColumn("tree", F.pmod(F.col("_first") + F.col("_i") * F.col("_step"), F.lit(TREES)).cast("int"))
     order = W.partitionBy("tree").orderBy(draw(F.col("tree"), F.col("_copy")), *names)
     chosen = drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= SAMPLE)
 

@@ -51,17 +51,29 @@ def label_encode(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ``<column>_encoded``: the position of the value's text among the sorted distinct texts."""
-    for column in _encoded_columns(df, columns):
-        dictionary, size = _dictionary(df, column)
-        dictionary = stage(dictionary, "dictionary")  # counted, then joined
-        width = dictionary.agg(F.max(F.octet_length("_text"))).first()[0] or 0
+    names = list(dict.fromkeys(_encoded_columns(df, columns)))
+    if {f"{c}_encoded" for c in names} & set(names):  # a result is encoded in its turn
+        for column in names:
+            df = _encode(df, [column], keep_original, hot_rows)
+        return df
+    return _encode(df, names, keep_original, hot_rows)
+
+
+def _encode(df: DataFrame, names: list[str], keep_original: bool, hot_rows: int) -> DataFrame:
+    """Distinct texts of all columns in one pass, counted and measured in another, then one join per column."""
+    entry = F.array(*[F.struct(F.lit(i).alias("at"), _as_text(df, c).alias("_text")) for i, c in enumerate(names)])
+    texts = stage(df.select(F.inline(entry)).distinct(), "dictionary")
+    facts = texts.groupBy("at").agg(F.count(F.lit(1)).alias("size"), F.max(F.octet_length("_text")).alias("width"))
+    facts = {r["at"]: r for r in facts.collect()}  # a row per column
+    for i, column in enumerate(names):
+        size, width = (facts[i]["size"], facts[i]["width"]) if i in facts else (0, 0)
         target = f"{column}_encoded"
-        dictionary = dictionary.select("_text", F.col("label").alias(target))
+        entries, _ = dense_index(texts.filter(F.col("at") == i).select("_text"), "_text", target, total=size)
         texted = df.drop(target).withColumn("_text", _as_text(df, column))
         if size <= BROADCAST_ENTRIES and width * size <= BROADCAST_BYTES:
-            joined = texted.join(F.broadcast(dictionary), "_text", "left")
+            joined = texted.join(F.broadcast(entries), "_text", "left")
         else:
-            joined = lookup(texted, dictionary, ["_text"], "left", hot_rows)
+            joined = lookup(texted, stage(entries, "dictionary"), ["_text"], "left", hot_rows)  # counted, then joined
         df = joined.drop("_text") if keep_original else joined.drop("_text", column)
     return df
 

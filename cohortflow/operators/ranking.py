@@ -132,13 +132,16 @@ def _at(counted: list[tuple[float, int]], k: int) -> float:
     raise RuntimeError("order statistic outside its bracket")
 
 
-def dense_index(values: DataFrame, column: str, name: str, per_piece: int = 500_000) -> tuple[DataFrame, int]:
-    """Number distinct values 0..k-1 in ascending order; returns the frame and k.
+def dense_index(
+    values: DataFrame, column: str, name: str, per_piece: int = 500_000, total: int | None = None
+) -> tuple[DataFrame, int]:
+    """Number distinct values 0..k-1 in ascending order; returns the frame and k (``total``, where it is known).
 
     A dictionary of at most ``per_piece`` values is numbered in one task. A larger one is cut into
     sorted ranges that are numbered on their own and shifted by the sizes of the ranges before.
     """
-    total = values.count()
+    if total is None:
+        total = values.count()
     if total <= per_piece:
         position = F.row_number().over(W.orderBy(column))
         return values.withColumn(name, (position - 1).cast("bigint")), total
