@@ -37,6 +37,7 @@ ROUNDS, FEW = 6, 0.1  #: rounds at most; fewer new edges than this share end the
 BEAM, EXPAND = 64, 16
 ENTRIES = 8
 SPAN, BINS = 2, 4  #: powers of two that a range of lengths spans at most, and bins per power
+ENTRY_BYTES = 64 << 20  #: entry vectors are broadcast up to so many bytes
 BUCKET_NODES = 4_000  #: nodes whose neighbourhoods, or whose vectors, one task holds
 _SEED = 20240607
 
@@ -302,6 +303,25 @@ def _scored(pairs: DataFrame, index: Index, queries: DataFrame) -> DataFrame:
     return grouped.applyInPandas(dot, "query long, node long, sim double")
 
 
+def _entered(index: Index, queries: DataFrame) -> DataFrame:
+    """``query, node, sim`` of every query and the entry nodes of its range, scored where the query lies.
+
+    The entry vectors are at most BEAM a range. Beyond ENTRY_BYTES the join is left to Spark; its rows
+    are streamed too, so no task holds the queries of a range.
+    """
+    entries = stage(index.entries.join(index.nodes.select("node", "vec"), "node"), "ann-entry-vectors")
+    held = entries.agg(F.sum(8 * F.size("vec"))).first()[0] or 0
+    met = queries.select("query", "target", "range").join(F.broadcast(entries) if held <= ENTRY_BYTES else entries, "range")
+
+    def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sim = _products(_matrix(batch.column("target")), _matrix(batch.column("vec")))
+                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(sim)], names=["query", "node", "sim"])
+
+    return met.select("query", "node", "target", "vec").mapInArrow(dot, "query long, node long, sim double")
+
+
 def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXPAND) -> DataFrame:
     """``query, node, sim``: the ``beam`` best nodes found for ``queries (query, target, range, entry)``.
 
@@ -312,10 +332,9 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, expand: int = EXP
     queries = stage(queries, "ann-queries")
     graph = index.edges.select("node", "near")
     low = F.lit(float("-inf"))
-    start = queries.select("query", "range").join(F.broadcast(index.entries), "range").select("query", "node")  # at most BEAM a range
     own = queries.where("entry IS NOT NULL").select("query", F.col("entry").alias("node"))
-    start = start.unionByName(own).distinct()
-    state = _scored(start, index, queries.select("query", "target", low.alias("worst")))
+    own = _scored(own, index, queries.select("query", "target", low.alias("worst")))
+    state = _entered(index, queries).unionByName(own).dropDuplicates(["query", "node"])
     state = stage(state.withColumn("done", F.lit(False)), "ann-beam")
     while True:
         front = state.where("NOT done").withColumn("rank", F.row_number().over(by_sim)).where(F.col("rank") <= expand)

@@ -8,8 +8,9 @@
    that shares most of its prefix, so a group of near copies costs as many pairs as it has members, not
    their square. Pairs that survive the filters are verified once on the whole sets, and links become
    components.
-4. Where documents that share a gram still lie in different components, pairs across components are
-   tried as well. Nothing is capped: a link that is left out lies within a component that is known.
+4. Where documents that share a gram still lie in different components, pairs across components that
+   the third step has not tried are tried as well; within a gram only neighbouring ranges of set sizes
+   meet. Nothing is capped: a link that is left out lies within a component that is known.
 
 The filters: sizes must be close enough (length); what the prefixes share, or can share with anyone, plus
 what lies behind the one that ends first, bounds the overlap (positional); and so does what the two sets
@@ -18,6 +19,7 @@ have in each of ``PARTS`` hash parts (suffix).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -288,6 +290,10 @@ def _may_link(x: str, y: str, percent: int) -> str:
     return " AND ".join(tests)
 
 
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
 def components(docs: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, component`` of every node that has a link."""
     postings = found.select("node", F.posexplode("prefix").alias("i", "gram"))
@@ -303,7 +309,8 @@ def components(docs: DataFrame, found: DataFrame, words: int, percent: int) -> D
     first = F.max(F.struct("x.sh", (-F.col("node")).alias("order"), "x")).alias("lead")
     leads = stage(shared.groupBy("gram").agg(first).select("gram", (-F.col("lead.order")).alias("a"), F.col("lead.x").alias("y")), "jaccard-leads")
     stars = shared.join(leads, "gram").where("node <> a").where(_may_link("x", "y", percent))
-    links = verified(stars.select("a", F.col("node").alias("b")).distinct(), docs, found, words, percent)
+    stars = stage(_ordered(stars, "a", "node").distinct(), "jaccard-stars")
+    links = verified(stars, docs, found, words, percent)
     known = stage(connected(links, "jaccard-rounds"), "jaccard-known")
     # Grams whose documents are not all in one component yet; of two documents the star was all.
     open_ = shared.where("held > 2").join(known, "node", "left").withColumn("c", F.coalesce("component", "node"))
@@ -313,16 +320,20 @@ def components(docs: DataFrame, found: DataFrame, words: int, percent: int) -> D
     main = main.select("gram", "a", F.coalesce("component", "a").alias("main"))
     open_ = stage(open_.join(main, "gram"), "jaccard-mixed").where("node <> a")
     # Documents outside the lead's component meet all others of the gram; those inside need not meet.
-    strays = open_.where("c <> main").select("gram", F.col("node").alias("node_x"), "x", F.col("c").alias("c_x"))
-    others = open_.select("gram", F.col("node").alias("node_y"), F.col("x").alias("y"), F.col("c").alias("c_y"), "main")
-    across = strays.join(others, "gram").where("c_x <> c_y AND (c_y = main OR node_x < node_y)")
-    across = across.where(_may_link("x", "y", percent))
-    across = across.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+    # Linked sets lie in the same range of sizes or in neighbouring ones.
+    size_range = F.floor(F.log(F.col("x.n").cast("double")) / math.log(1.0001 * 100 / percent)).cast("int")
+    open_ = open_.withColumn("r", size_range)
+    strays = open_.where("c <> main").withColumn("r", F.explode(F.sequence(F.col("r") - 1, F.col("r") + 1)))
+    strays = strays.select("gram", "r", F.col("node").alias("node_x"), "x", F.col("c").alias("c_x"))
+    others = open_.select("gram", "r", F.col("node").alias("node_y"), F.col("x").alias("y"), F.col("c").alias("c_y"), "main")
+    across = strays.join(others, ["gram", "r"]).where("c_x <> c_y AND (c_y = main OR node_x < node_y)")
+    across = _ordered(across.where(_may_link("x", "y", percent)), "node_x", "node_y").distinct()
+    across = across.join(stars, ["a", "b"], "left_anti")  # tried already, and no links across components
     more = verified(across, docs, found, words, percent)
     if more.isEmpty():
         return known
-    stars = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected(stars.unionByName(more), "jaccard-rounds")
+    trees = known.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected(trees.unionByName(more), "jaccard-rounds")
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -80,6 +80,19 @@ def test_a_large_group_of_near_copies(spark):
     assert _got(docs, 3, 90) == _brute(rows, 3, 90)
 
 
+def test_no_pair_is_tried_twice(spark, monkeypatch):
+    """Documents of shared blocks: many pairs fail under one gram and meet again under another."""
+    rng = random.Random(12)
+    blocks = [[f"b{i}w{rng.randrange(400)}" for _ in range(12)] for i in range(14)]
+    rows = [(i, " ".join(w for b in rng.sample(blocks, 9) for w in b) + f" end{i}") for i in range(120)]
+    rows += [(200 + i, rows[i][1] + " more") for i in range(20)]
+    tried, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *rest: tried.append({tuple(r) for r in pairs.collect()}) or verified(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _got(docs, 3, 50) == _brute(rows, 3, 50)
+    assert len(tried) == 2 and tried[0] and not tried[0] & tried[1]
+
+
 def test_messy_and_empty(messy, no_docs):
     rows = [(r[0], r[1]) for r in messy.collect()]
     assert _got(messy, 3, 90) == _brute(rows, 3, 90)
