@@ -2,8 +2,8 @@
 
 Four base patterns find what is certain. High-recall generators then propose further spans, which may
 overlap: written-out mail addresses, IPv6 addresses, and number runs, each as a card and as a phone
-number. Gradient-boosted trees score every proposal on its format and context. They are fitted on a
-bounded sample of documents, where proposals that the base patterns confirm are the positives; a fifth
+number. Gradient-boosted trees score every proposal on its format and context. They are fitted on
+the proposals of all documents, where those that the base patterns confirm are the positives; a fifth
 of the documents is held back from the trees and sets the thresholds. A proposal is accepted if it scores
 as well as most confirmed ones of its kind there, overlaps no base span, and no better proposal covers
 its place. A kind without confirmed proposals among the held ones adds nothing.
@@ -55,8 +55,6 @@ FEATURES = (
     "kind", "digits", "length", "separators", "letters", "inside_left", "inside_right", "opened",
     "groups", "longest_group", "luhn", "context",
 )
-#: Documents that the trees are fitted on, at most (in expectation: a hash threshold chooses them).
-TRAIN_DOCS = 20_000
 TREES, DEPTH = 10, 3
 #: An accepted span scores no worse than all but this share of confirmed ones, and this at least.
 MISSED, LEAST_SCORE = 0.05, 0.9
@@ -214,36 +212,37 @@ def score(trees: list, f: Column) -> Column:
     return 1 / (1 + F.exp(-2 * margin))
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
-    """Trees and thresholds from a bounded sample; None where it holds no confirmed or no other proposal."""
-    count = docs.count()
-    chosen = uniform(F.col("doc_id"), seed="pii") < train_docs / max(count, 1)
-    sample = proposals(base_spans(pick(docs, "doc_id", "text").where(chosen)))
+def fit(docs: DataFrame) -> Scorer | None:
+    """Trees and thresholds from the proposals of all ``docs``; None without confirmed or without other ones.
+
+    Proposals that agree in all features are one weighted row, so fitting costs what the different ones cost.
+    """
     # explode would have its input tested for size in the scan, which spells all patterns out once more.
-    rows = sample.select("doc_id", F.explode_outer("proposed").alias("p")).where("p IS NOT NULL").select(
+    rows = proposals(base_spans(docs)).select("doc_id", F.explode_outer("proposed").alias("p")).where("p IS NOT NULL").select(
         (uniform(F.col("doc_id"), seed="pii-held") < 0.2).alias("held"), "p.kind", "p.f", F.col("p.confirmed").cast("double").alias("label")
     )
-    rows = stage(rows, "pii-sample")
+    rows = stage(rows.groupBy("held", "kind", "f", "label").agg(F.count(F.lit(1)).alias("n")), "pii-proposals")
     if rows.where("NOT held").select("label").distinct().count() < 2:
         return None
-    training = rows.where("NOT held").select("label", array_to_vector("f").alias("features")).coalesce(4)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, maxBins=64).fit(training)
+    weight = F.col("n").cast("double").alias("weight")
+    training = rows.where("NOT held").select("label", array_to_vector("f").alias("features"), weight)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, maxBins=64, weightCol="weight").fit(training)
     trees = _flat(model)
     # Thresholds come from rows that the trees have not seen.
-    scored = rows.where("held AND label = 1").select("kind", score(trees, F.col("f")).alias("s"))
-    lows = scored.groupBy("kind").agg(F.percentile("s", MISSED).alias("low")).collect()
+    scored = rows.where("held AND label = 1").select("kind", score(trees, F.col("f")).alias("s"), "n")
+    lows = scored.groupBy("kind").agg(F.percentile("s", MISSED, F.col("n")).alias("low")).collect()
     return Scorer(trees, {row["kind"]: max(row["low"], LEAST_SCORE) for row in lows})
 
 
-def find(docs: DataFrame, train_docs: int = TRAIN_DOCS, scorer: Scorer | None = None) -> DataFrame:
+def find(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """``doc_id, text, base, spans`` per row: ``array<struct<kind, start, end>>``, by kind, then start.
 
-    Without a ``scorer`` one is fitted on a sample of ``docs`` themselves.
+    Without a ``scorer`` one is fitted on ``docs`` themselves.
     ``base`` holds what the base patterns find, ``spans`` also what the trees add. Null texts count as
     empty. Nothing found gives empty arrays. Repeated rows are treated alike. Without any confirmed
-    proposal in the sample (an empty table, say) nothing is added.
+    proposal (an empty table, say) nothing is added.
     """
-    scorer = scorer or fit(docs, train_docs)
+    scorer = scorer or fit(docs)
     rows = base_spans(docs)
     plain = lambda name, kind: F.transform(
         name, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
@@ -277,12 +276,12 @@ def find(docs: DataFrame, train_docs: int = TRAIN_DOCS, scorer: Scorer | None =
     return rows.select("doc_id", "text", "base", F.concat(*[ordered(k) for k in KINDS]).alias("spans"))
 
 
-def redact(docs: DataFrame, train_docs: int = TRAIN_DOCS, scorer: Scorer | None = None) -> DataFrame:
+def redact(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """``doc_id, text`` with every found span replaced by its kind in angle brackets.
 
     Where spans of two kinds overlap, the one that starts first (then the longer) covers the rest.
     """
-    found = find(docs, train_docs, scorer)
+    found = find(docs, scorer)
     by_start = F.array_sort(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("last"), s["kind"].alias("kind")))
     )

@@ -83,6 +83,16 @@ def test_trees_add_what_looks_alike_and_leave_the_rest(spark, scorer):
     assert not any(found[i]["spans"] for i in found if i != 5000)
 
 
+def test_every_document_takes_part_in_the_fit(spark):
+    """30,000 documents; the rare ones with confirmed data were outside the former sample of 20,000."""
+    place = lambda i: (int(hashlib.md5(f"pii|{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    outside = [i for i in range(30_000) if place(i) > 0.7][:200]
+    rows = [(i, _planted(n)) for n, i in enumerate(outside)]
+    rows += [(i, f"order {i * 7919} of 2024") for i in set(range(30_000)) - set(outside)]
+    found = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found is not None and {"email", "phone"} <= set(found.thresholds)
+
+
 def test_addresses_with_a_run_of_zeros_are_proposed(spark):
     texts = ["at 2001:db8::1 now", "fe80::", "::1, ::ffff", "std::vector a1::b:c::d 12::34x", "2001:db8:0:0:0:0:0:1", "10:20"]
     rows = pii._located(spark.createDataFrame([(t,) for t in texts], "text string"), pii.GENERATORS, "c_")
