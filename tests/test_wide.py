@@ -3,7 +3,9 @@ import datetime as dt
 import pytest
 
 from cohortflow.functions.exprs import age_in_years
+from cohortflow.operators import wide
 from cohortflow.operators.wide import coerce_numeric, concept_map, export_notes, person_base, wide_stacked, wide_tables
+from cohortflow.session import stage
 from pyspark.sql import functions as F
 
 ORG = "Study House"
@@ -217,3 +219,30 @@ def test_notes_on_what_is_left_out(spark, tables):
     after = export_notes(given, [101, 102, 103], ORG).first()
     assert before["skipped_cohorts"] == [103]
     assert after["impossible_births"] == before["impossible_births"] + 1
+
+
+def test_values_are_not_shuffled_once_they_are_gathered(spark, tables, monkeypatch):
+    """A visit's values travel to the sheets as one row per dataset, and only shared identities are grouped again."""
+    plans = {}
+
+    def spy(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name, *more)
+
+    monkeypatch.setattr(wide, "stage", spy)
+    assert wide_stacked(tables, [101, 102], ORG).count()
+    assert plans["visit-rows"].count("collect_list(") and "min(" not in plans["visit-rows"].split("collect_list(")[0]
+
+
+def test_visits_that_share_an_identity(spark, tables):
+    """Two visits of a person on one day with one label are one row; numbers count before texts, then the smallest."""
+    visit = tables["visit_occurrence"].where("cohort_id = 101 AND visit_occurrence_id = 10")
+    again = visit.withColumn("visit_occurrence_id", F.lit(77).cast(visit.schema["visit_occurrence_id"].dataType))
+    extra = spark.range(3).selectExpr(
+        "101 as cohort_id", "1L as person_id", "77L as visit_occurrence_id", "500L as measurement_source_concept_id", "cast(id as double) - 5 as value_as_number"
+    )
+    changed = {**tables, "visit_occurrence": tables["visit_occurrence"].unionByName(again), "measurement": tables["measurement"].unionByName(extra)}
+    before = rows(wide_tables(tables, [101], ORG, cohort=101)["Clinical"])
+    after = rows(wide_tables(changed, [101], ORG, cohort=101)["Clinical"])
+    assert len(after) == len(before)
+    assert "-3.0" < "-4.0" < "-5.0" and -3.0 in [r["score"] for r in after]
