@@ -49,3 +49,28 @@ def test_equal_costs_and_few_points(spark, monkeypatch):
     grid = np.array([[float(i), float(j)] for i in range(12) for j in range(12)])  # every gap is a tie
     assert len(set(_got(spark, grid, 2))) == 2
     assert sorted(_got(spark, np.array([[1.0, 1.0], [1.0, 1.0], [2.0, 2.0]]), 3).tolist()) == [0, 0, 1]
+
+
+def test_four_thousand_points_take_no_round(spark, monkeypatch):
+    """Up to LAST groups every merge is Ward's; beyond the former 1,000 the trees missed some."""
+    monkeypatch.setattr(ward, "_mutual", None)
+    x = np.random.default_rng(1).normal(size=(3_000, 3))
+    want = ward.greedy(x, np.ones(len(x)), 3)
+    assert _same(_got(spark, x, 3), want) == 1.0
+
+
+def test_one_pair_at_a_time_equals_the_plain_search():
+    x = np.round(np.random.default_rng(2).normal(size=(150, 2)), 1)  # with ties
+    weights, sets = np.ones(len(x)), [{i} for i in range(len(x))]
+    centres = x.copy()
+    while len(sets) > 4:
+        gap = ((centres[:, None] - centres[None]) ** 2).sum(axis=2)
+        cost = weights[:, None] * weights / (weights[:, None] + weights) * gap
+        np.fill_diagonal(cost, np.inf)
+        a, b = sorted(np.unravel_index(np.argmin(cost), cost.shape))
+        centres[a] = (centres[a] * weights[a] + centres[b] * weights[b]) / (weights[a] + weights[b])
+        weights[a] += weights[b]
+        sets[a] |= sets.pop(b)
+        centres, weights = np.delete(centres, b, 0), np.delete(weights, b)
+    found = ward.greedy(x, np.ones(len(x)), 4)
+    assert sorted(map(sorted, sets)) == sorted(sorted(map(int, np.flatnonzero(found == c))) for c in range(4))
