@@ -148,3 +148,12 @@ def test_many_columns_are_not_laid_out_as_pairs(spark):
     assert "MapInArrow" in plan and "Generate" not in plan
     empty = correlation_report(wide.where("v0 < 0"))
     assert empty.count() == 66 and empty.where("correlation IS NOT NULL").count() == 0
+
+
+def test_spearman_reads_its_input_once(spark, monkeypatch):
+    """Counting, cutting and ranking read a written table, so the scan and the dealing of rows happen once."""
+    written, stage = [], corr.stage
+    monkeypatch.setattr(corr, "stage", lambda df, name, *more: written.append(name) or stage(df, name, *more))
+    df = spark.range(500).selectExpr("cast(id % 7 as double) as a", "cast(id * id % 31 as double) as b", "cast(id as double) as c")
+    assert corr.correlation_report(df, "spearman", rows_per_bucket=100).count() == 3
+    assert written == ["numbers", "cells"]
