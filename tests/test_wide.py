@@ -246,3 +246,57 @@ def test_visits_that_share_an_identity(spark, tables):
     after = rows(wide_tables(changed, [101], ORG, cohort=101)["Clinical"])
     assert len(after) == len(before)
     assert "-3.0" < "-4.0" < "-5.0" and -3.0 in [r["score"] for r in after]
+
+
+def test_only_the_sheets_asked_for(tables, monkeypatch):
+    """Values of other datasets are dropped with the concepts, so they reach neither shuffle nor staged rows."""
+    staged = {}
+
+    def spy(df, name, *more):
+        staged[name] = stage(df, name, *more)
+        return staged[name]
+
+    monkeypatch.setattr(wide, "stage", spy)
+    whole = wide_tables(tables, [101, 102], ORG)
+    assert {r["dataset"] for r in staged["visit-rows"].collect()} == {"Blood", "Clinical", "Unknown"}
+    for name in ("Clinical", "Unknown"):
+        asked = wide_tables(tables, [101, 102], ORG, datasets=[name])
+        assert list(asked) == [name] and {r["dataset"] for r in staged["visit-rows"].collect()} == {name}
+        assert asked[name].schema == whole[name].schema and asked[name].collect() == whole[name].collect()
+    with pytest.raises(RuntimeError, match="No data"):
+        wide_tables(tables, [101, 102], ORG, datasets=["Nowhere"])
+
+
+def test_gathering_sorts_once(tables, monkeypatch):
+    """The window that gathers a visit's values has the order the join with the visits needs; no lists are sorted."""
+    plans = {}
+
+    def spy(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name, *more)
+
+    monkeypatch.setattr(wide, "stage", spy)
+    assert wide_stacked(tables, [101, 102], ORG).count()
+    plan = plans["visit-rows"]
+    assert "Window [" in plan and "ObjectHashAggregate" not in plan and "array_sort" not in plan
+
+
+def test_concepts_that_share_a_field(spark, tables):
+    """Per field the number of the smallest spelling counts, whatever concept holds it; a concept listed twice counts once."""
+    concepts = tables["local_concept"].unionByName(
+        spark.createDataFrame(
+            [(101, 700, "score", "", "Clinical"), (101, 700, "score", "", "Clinical"), (101, 701, "score", "", "Clinical"), (101, 700, "level", "", "Blood")],
+            tables["local_concept"].schema,
+        )
+    )
+    numbers = spark.createDataFrame([(101, 1, 10, 700, 1.25), (101, 2, 11, 701, None)], tables["measurement"].schema)
+    texts = spark.createDataFrame([(101, 1, 10, 701, "0"), (101, 2, 11, 700, "8")], tables["observation"].schema)
+    given = {
+        **tables,
+        "local_concept": concepts,
+        "measurement": tables["measurement"].unionByName(numbers),
+        "observation": tables["observation"].unionByName(texts),
+    }
+    sheets = wide_tables(given, [101], ORG, cohort=101)
+    assert [(r["Barcode"], r["score"]) for r in rows(sheets["Clinical"])] == [("A", 1.25), ("B", 8.0)]
+    assert [(r["Barcode"], r["level"]) for r in rows(sheets["Blood"])] == [("A", 1.25), ("B", 8.0)]  # "8" < "n/a"
