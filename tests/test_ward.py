@@ -44,6 +44,51 @@ def test_trees_and_groups_agree_on_two_thousand_points(spark, monkeypatch):
     assert _same(_got(spark, x, 5), ward.greedy(x, np.ones(len(x)), 5)) >= 0.99
 
 
+@pytest.mark.parametrize(("width", "digits"), [(3, 6), (12, 6), (2, 1)])
+def test_a_round_misses_no_nearest_group(spark, monkeypatch, width, digits):
+    """Against all pairs: other weights, far points and (rounded) equal gaps; small leaves and blocks."""
+    monkeypatch.setattr(spectral, "GROUP_NODES", 100)
+    monkeypatch.setattr(spectral, "BLOCK_NODES", 30)
+    rng = np.random.default_rng(width)
+    x = np.unique(np.round(rng.normal(size=(1_500, width)) * rng.choice([1.0, 1.0, 8.0], (1_500, 1)), digits), axis=0)
+    n = rng.choice([1.0, 2.0, 40.0], len(x))
+    rows = [(i, [float(v) for v in row], float(w)) for i, (row, w) in enumerate(zip(x, n, strict=True))]
+    groups = spark.createDataFrame(rows, "node long, z array<double>, n double").repartition(4)
+    got = {(r["a"], r["b"]) for r in ward._mutual(groups, len(x), 3).collect()}
+    cost = n[:, None] * n / (n[:, None] + n) * ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(cost, np.inf)
+    near = cost.argmin(axis=1)  # of equal ones the lowest id
+    least = cost[np.arange(len(x)), near]
+    limit = max(least[a] for a, _ in got)
+    assert got == {(a, int(b)) for a, b in enumerate(near) if near[b] == a < b and least[a] <= limit}
+    assert 0.70 <= (least <= limit).mean() <= 0.78
+
+
+def test_neither_leaves_nor_the_end_change_the_result(spark, monkeypatch):
+    """Points without groups, where every missed neighbour shows in the cut; some of them come twice."""
+    x = np.random.default_rng(7).normal(size=(1_200, 5))
+    x = np.concatenate([x, x[:200]])
+    want = ward.greedy(*(v.astype(float) for v in np.unique(x, axis=0, return_counts=True)), 3)
+    want = dict(zip(map(tuple, np.unique(x, axis=0)), want.tolist(), strict=True))
+    want = np.array([want[tuple(row)] for row in x])
+    for last, leaf, block in ((4_000, 4_000, 256), (300, 120, 40)):
+        monkeypatch.setattr(ward, "LAST", last)
+        monkeypatch.setattr(spectral, "GROUP_NODES", leaf)
+        monkeypatch.setattr(spectral, "BLOCK_NODES", block)
+        got = _got(spark, x, 3)
+        assert _same(got, want) == _same(want, got) == 1.0
+
+
+def test_cut_parts_evenly():
+    """The widest coordinate has one value in most rows, the next one in half of them; the third parts in the middle."""
+    x = np.zeros((100, 3))
+    x[:5, 0], x[:30, 1], x[:, 2] = 1_000.0, 50.0, np.arange(100) / 100
+    dim, cut = ward._cut(x)
+    assert dim == 2 and (x[:, 2] > cut).sum() == 50
+    assert ward._cut(np.zeros((4, 2)))[1] == np.inf
+    assert ward._cut(np.array([[0.0], [5.0], [5.0], [5.0]])) == (0, 0.0)
+
+
 def test_equal_costs_and_few_points(spark, monkeypatch):
     monkeypatch.setattr(ward, "LAST", 10)
     grid = np.array([[float(i), float(j)] for i in range(12) for j in range(12)])  # every gap is a tie
