@@ -79,6 +79,18 @@ def test_neither_leaves_nor_the_end_change_the_result(spark, monkeypatch):
         assert _same(got, want) == _same(want, got) == 1.0
 
 
+@pytest.mark.parametrize("rows", [[0], [3, 5], [29], list(range(30))])
+def test_values_without_distance_go_as_one_pair_at_a_time(spark, monkeypatch, rows):
+    x = np.random.default_rng(3).normal(size=(30, 2))
+    x[rows, 1] = np.nan
+    nodes = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "node long, z array<double>")
+    for k in (1, 2, 4):
+        got = {r["node"]: r["cluster"] for r in ward._in_order(nodes, rows[0], k).collect()}
+        assert [got[i] for i in range(30)] == ward.greedy(x, np.ones(30), k).tolist()
+    monkeypatch.setattr(ward, "LAST", 10)
+    assert ward.labels(_points(spark, x), 2).select("cluster").distinct().count() == 2
+
+
 def test_cut_parts_evenly():
     """The widest coordinate has one value in most rows, the next one in half of them; the third parts in the middle."""
     x = np.zeros((100, 3))
